@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from eventlens.plans import oracle_sql, queries
+from eventlens.plans import ingest_queries, oracle_sql, queries
 
 
 def query_functions() -> dict:
-    return dict(queries.all_queries())
+    out = dict(queries.all_queries())
+    out.update(ingest_queries.all_queries())
+    return out
 
 
 def oracle_statements() -> dict[str, str]:

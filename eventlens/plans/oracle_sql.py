@@ -76,7 +76,8 @@ lagged AS (
  FROM hourly)"""
 
 # Bodies reference g_events / g_mentions / g_gkg.  A body may start with
-# extra CTE definitions ("name AS (...), ...") followed by ``|`` and the select.
+# extra CTE definitions ("name AS (...), ...") and then a line starting with
+# ``|`` that holds the final select.
 _BODIES: dict[str, str] = {}
 
 _BODIES["conflict_heatmap"] = f"""
@@ -235,9 +236,39 @@ SELECT {continent_sql('ActionGeo_CountryCode')} AS continent, count(*) AS event_
 FROM g_events GROUP BY 1"""
 
 
+_SLOT_TS = "try_strptime(cast(DATEADDED AS varchar), '%Y%m%d%H%M%S')"
+
+_BODIES["ingest_events"] = """
+SELECT *, substr(cast(DATEADDED AS varchar), 1, 8) || '000000' AS ts FROM g_events"""
+
+_BODIES["ingest_stream_events"] = _BODIES["ingest_events"]
+
+_BODIES["ingest_mentions"] = """
+SELECT *, substr(cast(MentionTimeDate AS varchar), 1, 8) || '000000' AS ts FROM g_mentions"""
+
+_BODIES["ingest_gkg"] = """
+SELECT * REPLACE (cast(GKGRECORDID AS varchar) AS GKGRECORDID),
+       substr(DATE, 1, 8) || '000000' AS ts
+FROM g_gkg"""
+
+_BODIES["due_slots"] = f"""
+obs AS (
+ SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, {_SLOT_TS}) AS t
+ FROM g_events WHERE {_SLOT_TS} IS NOT NULL),
+expected AS (
+ SELECT unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS t
+ FROM (SELECT min(t) AS lo, max(t) AS hi FROM obs))
+|SELECT strftime(t, '%Y%m%d%H%M%S') AS ts FROM expected WHERE t NOT IN (SELECT t FROM obs)"""
+
+_BODIES["retain_since"] = f"""
+SELECT GLOBALEVENTID, cast(DATEADDED AS varchar) AS ts FROM g_events
+WHERE {_SLOT_TS} IS NULL
+   OR {_SLOT_TS} >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 72 HOUR"""
+
+
 def _split(body: str) -> tuple[str, str]:
-    if "|" in body:
-        ctes, select = body.split("|", 1)
+    if "\n|" in body:
+        ctes, select = body.split("\n|", 1)
         return ctes.strip().rstrip(","), select
     return "", body
 
@@ -247,7 +278,8 @@ def analysis_cte(name: str) -> tuple[str, str]:
     return _split(_BODIES[name])
 
 
-_LOCAL_CTES = ("daily", "hourly", "lagged", "grown", "themes", "counts", "orgs", "paired")
+_LOCAL_CTES = ("daily", "hourly", "lagged", "grown", "themes", "counts", "orgs", "paired",
+               "obs", "expected")
 _LOCAL_RE = re.compile(r"\b(" + "|".join(_LOCAL_CTES) + r")\b")
 
 

@@ -87,8 +87,8 @@ def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = N
 
 
 def with_slot(lines: DataFrame, path_col: str = "source_file") -> DataFrame:
-    """``ts`` = the last 14-digit run in the file path (NULL if none)."""
-    stamp = F.regexp_extract(F.col(path_col), SLOT_PATTERN + r"[^/]*$", 1)
+    """``ts`` = the last 14-digit run in the file path (file name or folder), NULL if none."""
+    stamp = F.regexp_extract(F.col(path_col), r"^.*" + SLOT_PATTERN, 1)
     return lines.withColumn("ts", F.when(stamp != "", stamp))
 
 

@@ -21,11 +21,13 @@ from eventlens.sources.ingest import FEED_SUFFIXES
 from eventlens.sources.tables import write_slots
 
 
-def stream_rows(spark: SparkSession, landing: str, table: str, max_files: int | None = None) -> DataFrame:
+def stream_rows(
+    spark: SparkSession, landing: str, table: str, max_files: int | None = None, glob: str | None = None
+) -> DataFrame:
     """Streaming DataFrame of typed rows of one feed, with ``ts``."""
     reader = (
         spark.readStream.format("text")
-        .option("pathGlobFilter", f"*{FEED_SUFFIXES[table]}")
+        .option("pathGlobFilter", glob or f"*{FEED_SUFFIXES[table]}")
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
@@ -41,6 +43,7 @@ def start_ingest(
     checkpoint: str | None = None,
     available_now: bool = True,
     max_files: int | None = None,
+    glob: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental load of one table.  With ``available_now`` the
     query processes what has landed and stops (batch-like scheduling)."""
@@ -50,7 +53,7 @@ def start_ingest(
         write_slots(batch, table_root, table)
 
     writer = (
-        stream_rows(spark, landing, table, max_files)
+        stream_rows(spark, landing, table, max_files, glob)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", location)
         .queryName(f"ingest_{table}")
