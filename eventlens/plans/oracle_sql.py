@@ -309,3 +309,151 @@ def analysis_sql(name: str) -> str:
 
 def all_sql() -> dict[str, str]:
     return {name: analysis_sql(name) for name in _BODIES}
+
+
+# --- views: (analyses read, final select over them) --------------------------
+
+def _first(table: str, column: str, n: int) -> str:
+    return (f"(SELECT {column} FROM (SELECT DISTINCT {column} FROM {table}"
+            f" ORDER BY {column} ASC NULLS FIRST LIMIT {n}))")
+
+
+def _blank(cols: list[str]) -> str:
+    return ", ".join(f"coalesce(cast({c} AS varchar), '') AS {c}" for c in cols)
+
+
+_SUMMARY_UNION = " UNION ALL ".join(
+    f"SELECT '{n}' AS result, count(*) AS row_count FROM {n}" for n in (
+        "conflict_heatmap", "top_countries_events", "tone_sources_correlation", "cameo_by_region",
+        "actor_interaction_matrix", "media_coverage", "sentiment_trend", "conflict_country_pairs",
+        "escalation_events", "religion_conflict_clusters", "gkg_themes_by_continent",
+        "top_organizations", "tone_lag_analysis", "diplomatic_conflict_graph",
+        "source_diversity_index", "ethnic_conflict_frequency", "breaking_news",
+        "quadclass_timeline", "hourly_event_density",
+    )
+)
+
+_REGIONS5_CAMEO = _first("cameo_by_region", "region", 5)
+
+VIEW_FINALS: dict[str, tuple[tuple[str, ...], str]] = {
+    "view_result_page": (("conflict_heatmap",), """
+SELECT strftime(event_date, '%Y-%m-%d') AS event_date, country_code, avg_goldstein,
+       conflict_events, intensity_score
+FROM (SELECT * FROM conflict_heatmap ORDER BY event_date ASC NULLS FIRST, country_code LIMIT 500)"""),
+    "view_result_summary": (tuple(), f"""
+SELECT result, row_count FROM ({_SUMMARY_UNION})
+UNION ALL
+SELECT 'total' AS result, cast(sum(row_count) AS BIGINT) AS row_count FROM ({_SUMMARY_UNION})"""),
+    "view_country_totals": (("top_countries_events",), """
+SELECT country_code, cast(sum(event_count) AS BIGINT) AS total_events FROM top_countries_events
+GROUP BY 1 ORDER BY total_events DESC, country_code LIMIT 10"""),
+    "view_heat_top": (("conflict_heatmap",), """
+SELECT country_code, strftime(event_date, '%Y-%m-%d') AS event_date, goldstein_magnitude,
+       intensity_score
+FROM (SELECT country_code, event_date, abs(coalesce(avg_goldstein, 0.0)) AS goldstein_magnitude,
+             coalesce(intensity_score, 0.0) AS intensity_score
+      FROM conflict_heatmap
+      ORDER BY coalesce(intensity_score, 0.0) DESC, country_code, event_date ASC NULLS FIRST
+      LIMIT 15)"""),
+    "view_pair_labels": (("conflict_country_pairs",), """
+SELECT concat_ws('-', country_1, country_2) AS pair, conflict_count FROM conflict_country_pairs
+ORDER BY conflict_count DESC, pair LIMIT 10"""),
+    "view_class_by_region": (("quadclass_timeline",), f"""
+SELECT region,
+       {", ".join(f"cast(coalesce(sum(CASE WHEN QuadClass = {q} THEN event_count END), 0) AS BIGINT) AS quad_{q}"
+                  for q in (1, 2, 3, 4))}
+FROM quadclass_timeline WHERE region IN {_first("quadclass_timeline", "region", 5)}
+GROUP BY region"""),
+    "view_code_by_region": (("cameo_by_region",), f"""
+SELECT g.region, g.EventBaseCode, cast(coalesce(s.event_count, 0) AS BIGINT) AS event_count
+FROM (SELECT r.region, c.EventBaseCode
+      FROM {_REGIONS5_CAMEO} r
+      CROSS JOIN (SELECT EventBaseCode FROM (
+                    SELECT EventBaseCode, sum(event_count) AS total FROM cameo_by_region
+                    WHERE region IN {_REGIONS5_CAMEO} GROUP BY 1)
+                  ORDER BY total DESC, EventBaseCode LIMIT 8) c) g
+LEFT JOIN (SELECT region, EventBaseCode, sum(event_count) AS event_count
+           FROM cameo_by_region GROUP BY 1, 2) s
+  ON g.region = s.region AND g.EventBaseCode = s.EventBaseCode"""),
+    "view_tone_series": (("sentiment_trend",), f"""
+SELECT country_code, day_index, strftime(event_date, '%Y-%m-%d') AS event_date, tone_value FROM (
+ SELECT country_code, event_date, coalesce(moving_avg_7d, daily_avg_tone) AS tone_value,
+        cast(row_number() OVER (PARTITION BY country_code ORDER BY event_date ASC NULLS FIRST)
+             AS INTEGER) AS day_index
+ FROM sentiment_trend WHERE country_code IN {_first("sentiment_trend", "country_code", 5)})
+WHERE day_index <= 30"""),
+    "view_edge_rankings": (("diplomatic_conflict_graph",), """
+SELECT interaction_type, rank, concat_ws('-', country_1, country_2) AS pair, interaction_count
+FROM (SELECT *, cast(row_number() OVER (PARTITION BY interaction_type
+                     ORDER BY interaction_count DESC, country_1, country_2) AS INTEGER) AS rank
+      FROM diplomatic_conflict_graph WHERE interaction_type IN ('diplomatic', 'conflict'))
+WHERE rank <= 8"""),
+    "view_lag_top": (("tone_lag_analysis",), """
+SELECT country_code, r AS lag_correlation FROM (
+ SELECT country_code, round(lag_correlation, 3) AS r FROM tone_lag_analysis
+ WHERE lag_correlation IS NOT NULL)
+ORDER BY r DESC, country_code LIMIT 10"""),
+    "view_top_ethnic": (("ethnic_conflict_frequency",), """
+SELECT ethnicity, conflict_count FROM ethnic_conflict_frequency
+ORDER BY conflict_count DESC, ethnicity LIMIT 10"""),
+    "view_top_coverage": (("media_coverage",), """
+SELECT country_code, round(r, 2) AS mentions_per_event FROM (
+ SELECT country_code, mentions_per_event_ratio AS r FROM media_coverage
+ ORDER BY r DESC NULLS LAST, country_code LIMIT 10)"""),
+    "view_top_diversity": (("source_diversity_index",), """
+SELECT country_code, round(d, 2) AS diversity_index FROM (
+ SELECT country_code, diversity_index AS d FROM source_diversity_index
+ ORDER BY d DESC, country_code LIMIT 10)"""),
+    "view_top_actor_pairs": (("actor_interaction_matrix",), """
+SELECT concat_ws('→', actor1_type, actor2_type) AS pair, frequency FROM actor_interaction_matrix
+ORDER BY frequency DESC, pair LIMIT 12"""),
+    "view_top_themes": (("gkg_themes_by_continent",), """
+SELECT continent, year, substr(theme_name, 1, 30) AS theme_label, theme_count FROM (
+ SELECT * FROM gkg_themes_by_continent
+ ORDER BY theme_count DESC, theme_name, continent, year LIMIT 12)"""),
+    "view_top_organizations": (("top_organizations",), """
+SELECT strftime(event_date, '%Y-%m-%d') AS event_date, substr(org_name, 1, 25) AS org_label,
+       mention_count
+FROM (SELECT * FROM top_organizations
+      ORDER BY mention_count DESC, org_name, event_date ASC NULLS FIRST LIMIT 12)"""),
+    "view_religion_table": (("religion_conflict_clusters",), f"""
+SELECT {_blank(["region", "religion", "conflict_count"])} FROM (
+ SELECT * FROM religion_conflict_clusters
+ ORDER BY region ASC NULLS FIRST, conflict_count DESC, religion ASC NULLS FIRST LIMIT 50)"""),
+    "view_breaking_table": (("breaking_news",), f"""
+SELECT {_blank(["GLOBALEVENTID", "mention_hour", "hourly_mentions"])} FROM (
+ SELECT * FROM breaking_news
+ ORDER BY GLOBALEVENTID ASC NULLS FIRST, mention_hour ASC NULLS FIRST LIMIT 50)"""),
+    "view_escalation_table": (("escalation_events",), f"""
+SELECT {_blank(["GLOBALEVENTID", "mention_hour", "hourly_mentions", "growth_rate"])} FROM (
+ SELECT * FROM escalation_events
+ ORDER BY GLOBALEVENTID ASC NULLS FIRST, mention_hour ASC NULLS FIRST,
+          ActionGeo_CountryCode ASC NULLS FIRST, EventCode ASC NULLS FIRST LIMIT 50)"""),
+    "view_correlation_card": (("tone_sources_correlation",), """
+SELECT round(coalesce(correlation, 0.0), 4) AS correlation, coalesce(sample_size, 0) AS sample_size,
+       round(coalesce(avg_tone, 0.0), 2) AS avg_tone, round(coalesce(avg_sources, 0.0), 2) AS avg_sources
+FROM tone_sources_correlation"""),
+    "view_hour_labels": (("hourly_event_density",), """
+SELECT hour_utc, cast(hour_utc AS varchar) || ':00' AS hour_label, event_count
+FROM hourly_event_density"""),
+}
+
+_ALL_ANALYSES = (
+    "conflict_heatmap", "top_countries_events", "tone_sources_correlation", "cameo_by_region",
+    "actor_interaction_matrix", "media_coverage", "sentiment_trend", "conflict_country_pairs",
+    "escalation_events", "religion_conflict_clusters", "gkg_themes_by_continent",
+    "top_organizations", "tone_lag_analysis", "diplomatic_conflict_graph",
+    "source_diversity_index", "ethnic_conflict_frequency", "breaking_news",
+    "quadclass_timeline", "hourly_event_density",
+)
+
+
+def view_sql(name: str) -> str:
+    needs, final = VIEW_FINALS[name]
+    if name == "view_result_summary":
+        needs = _ALL_ANALYSES
+    return compose(*[result_cte(a) for a in needs], final=final)
+
+
+def all_view_sql() -> dict[str, str]:
+    return {name: view_sql(name) for name in VIEW_FINALS}
