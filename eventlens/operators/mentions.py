@@ -14,20 +14,39 @@ from pyspark.sql import functions as F
 from eventlens.operators.common import COUNTRY, hourly_mentions
 
 
+OUTPUT = ["GLOBALEVENTID", "mention_hour", "hourly_mentions", "growth_rate", COUNTRY, "EventCode"]
+
+
 def escalation_events(
     mentions: DataFrame,
     events: DataFrame | None = None,
     growth: float = 2.0,
     min_mentions: int = 10,
+    stage_dir: str | None = None,
 ) -> DataFrame:
     """09: hours whose mention count grew by more than ``growth`` over the
     previous observed hour and reached ``min_mentions``.
 
     growth_rate = (n - prev) / prev, 0.0 for the first hour.  The qualifying
     hours are left-joined to the event's action country and code; ids without
-    an event keep NULLs.  The hour filter runs before the join, so only the
-    few qualifying ids meet the event table (Spark can also inject a runtime
-    bloom filter on the event scan for this shape).
+    an event keep NULLs.
+
+    Join strategy.  The qualifying hours are few, the event table is the
+    largest input.  A broadcast hash join cannot build on the preserved side
+    of an outer join, so a plain left join shuffles the whole event
+    projection.  With ``stage_dir`` (a folder in the shared checkpoint
+    location) the hours are written first, which gives the planner their
+    measured size; then
+
+      matched   = hours INNER JOIN events   -> broadcast of the hours when their
+                                               measured size is under the
+                                               broadcast threshold (events are
+                                               streamed, not shuffled), else a
+                                               sort-merge join;
+      unmatched = hours LEFT ANTI matched ids (both sides small, staged too);
+      result    = matched UNION unmatched   == the left join.
+
+    Without ``stage_dir`` the plan is the plain left join (lazy, no writes).
     """
     prev = F.col("prev_mentions")
     rate = F.when(
@@ -37,16 +56,31 @@ def escalation_events(
         hourly_mentions(mentions)
         .withColumn("growth_rate", rate)
         .filter((F.col("growth_rate") > growth) & (F.col("hourly_mentions") >= min_mentions))
+        .drop("prev_mentions")
     )
     if events is None:
-        hot = hot.withColumn(COUNTRY, F.lit(None).cast("string")).withColumn(
+        return hot.withColumn(COUNTRY, F.lit(None).cast("string")).withColumn(
             "EventCode", F.lit(None).cast("string")
-        )
-    else:
-        hot = hot.join(events.select("GLOBALEVENTID", COUNTRY, "EventCode"), "GLOBALEVENTID", "left")
-    return hot.select(
-        "GLOBALEVENTID", "mention_hour", "hourly_mentions", "growth_rate", COUNTRY, "EventCode"
+        ).select(*OUTPUT)
+    event_keys = events.select("GLOBALEVENTID", COUNTRY, "EventCode")
+    if stage_dir is None:
+        return hot.join(event_keys, "GLOBALEVENTID", "left").select(*OUTPUT)
+
+    spark = hot.sparkSession
+    base = stage_dir.rstrip("/")
+    hot.write.mode("overwrite").parquet(f"{base}/hours")
+    hours = spark.read.parquet(f"{base}/hours")
+    hours.join(event_keys, "GLOBALEVENTID").select(*OUTPUT).write.mode("overwrite").parquet(
+        f"{base}/matched"
+    )
+    matched = spark.read.parquet(f"{base}/matched")
+    unmatched = (
+        hours.join(matched.select("GLOBALEVENTID").distinct(), "GLOBALEVENTID", "left_anti")
+        .withColumn(COUNTRY, F.lit(None).cast("string"))
+        .withColumn("EventCode", F.lit(None).cast("string"))
+        .select(*OUTPUT)
     )
+    return matched.unionByName(unmatched)
 
 
 def breaking_news(mentions: DataFrame, min_mentions: int = 100) -> DataFrame:

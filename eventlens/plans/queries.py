@@ -18,6 +18,7 @@ from eventlens import operators as ops
 from eventlens.functions import continent
 from eventlens.plans import fixtures
 from eventlens.plans.oracle_sql import ANALYSIS_DATE
+from eventlens.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,11 @@ def _analysis(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
         return _round(ops.tone_lag_analysis(_events(spark, sf_dir)), "lag_correlation", 6)
     if name == "sentiment_trend":
         return _round(ops.sentiment_trend(_events(spark, sf_dir)), "moving_avg_7d", 9)
+    if name == "escalation_events":
+        return ops.escalation_events(
+            _mentions(spark, sf_dir), _events(spark, sf_dir),
+            stage_dir=scratch_path(spark, "escalation"),
+        )
     fn, needs = {n: (f, r) for n, f, r in ops.ANALYSES}[name]
     loaders = {"events": _events, "mentions": _mentions, "gkg": _gkg}
     return fn(*[loaders[t](spark, sf_dir) for t in needs])

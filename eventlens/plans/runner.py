@@ -3,13 +3,16 @@
 Isolation rules: no events table -> nothing runs; an analysis whose input is
 missing is skipped with a status; a failing analysis does not stop the
 others.  Each result's plan executes once (the write); its row count is then
-read from the written table's footers.  The run record (one row per
+read from the written table's footers.  Analyses that can stage an
+intermediate (``stage_dir``) get a folder under the shared checkpoint
+location.  The run record (one row per
 analysis) is written last, so it describes what actually happened.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 import logging
 import time
 from collections.abc import Mapping, Sequence
@@ -17,6 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlens.operators import ANALYSES
+from eventlens.session import scratch_path
 from eventlens.sources.sinks import RUN_RECORD, read_result, run_record, write_result
 from eventlens.sources.tables import load_table
 
@@ -73,7 +77,10 @@ def run_all(
                 statuses.append(status)
                 continue
             try:
-                result = fn(*[inputs[t] for t in required], **params.get(name, {}))
+                kwargs = dict(params.get(name, {}))
+                if "stage_dir" in inspect.signature(fn).parameters and "stage_dir" not in kwargs:
+                    kwargs["stage_dir"] = scratch_path(spark, f"stage-{name}")
+                result = fn(*[inputs[t] for t in required], **kwargs)
                 if write_empty:
                     write_result(result, out_root, name, fmt)
                     rows = read_result(spark, out_root, name, fmt).count()
