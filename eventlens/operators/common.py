@@ -8,10 +8,13 @@ one task: the ``groupBy`` does a map-side partial aggregate before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions import event_date, mention_hour
+from eventlens.functions.maps import CONFLICT_CLASSES
 
 COUNTRY = "ActionGeo_CountryCode"
 
@@ -28,6 +31,34 @@ def daily_country(events: DataFrame, *aggs: Column, where: Column | None = None)
     )
 
 
+def daily_measures(events: DataFrame, quad: Sequence[int] = CONFLICT_CLASSES) -> DataFrame:
+    """The shared daily base of 01, 02, 07 and 13: one row per
+    (event_date, country_code) with every measure those analyses need.
+
+    Built from events when an analysis runs alone; a runner can build it once,
+    stage it, and hand it to all four (``daily=``), which replaces four scans
+    and shuffles of the event table by one.  Averages are kept as sum and
+    count so they stay exact to combine.
+    """
+    conflict = F.col("QuadClass").isin(*quad)
+    goldstein = F.col("GoldsteinScale")
+    return daily_country(
+        events,
+        F.count(F.lit(1)).alias("n_events"),
+        F.count(F.when(conflict, 1)).alias("n_conflict"),
+        F.sum(F.when(conflict, goldstein)).alias("conflict_goldstein_sum"),
+        F.count(F.when(conflict, goldstein)).alias("conflict_goldstein_n"),
+        F.sum(F.when(conflict, F.abs(goldstein))).alias("conflict_intensity"),
+        F.sum("AvgTone").alias("tone_sum"),
+        F.count("AvgTone").alias("tone_n"),
+    )
+
+
+def mean(total: str, n: str) -> Column:
+    """sum / count as ``avg`` gives it: NULL when there is nothing to average."""
+    return F.try_divide(F.col(total), F.col(n))
+
+
 def hourly_mentions(mentions: DataFrame) -> DataFrame:
     """Mentions per event and hour bucket, with the count of the previous
     observed hour of the same event (``prev_mentions``; NULL for the first).

@@ -10,18 +10,27 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import country_pair, event_date, interaction_type, region
 from eventlens.functions.maps import CONFLICT_CLASSES
-from eventlens.operators.common import COUNTRY, daily_country
+from eventlens.operators.common import COUNTRY, daily_measures, mean
 
 
-def conflict_heatmap(events: DataFrame, quad: Sequence[int] = CONFLICT_CLASSES) -> DataFrame:
+def conflict_heatmap(
+    events: DataFrame | None,
+    quad: Sequence[int] = CONFLICT_CLASSES,
+    daily: DataFrame | None = None,
+) -> DataFrame:
     """01: per day and action country over conflict events: mean Goldstein,
-    event count and the sum of absolute Goldstein values."""
-    return daily_country(
-        events,
-        F.avg("GoldsteinScale").alias("avg_goldstein"),
-        F.count(F.lit(1)).alias("conflict_events"),
-        F.sum(F.abs("GoldsteinScale")).alias("intensity_score"),
-        where=F.col("QuadClass").isin(*quad),
+    event count and the sum of absolute Goldstein values.
+
+    ``daily`` is an already built ``daily_measures`` base (its conflict
+    classes apply); without it the base is built from ``events``.
+    """
+    base = daily if daily is not None else daily_measures(events, quad)
+    return base.filter(F.col("n_conflict") > 0).select(
+        "event_date",
+        "country_code",
+        mean("conflict_goldstein_sum", "conflict_goldstein_n").alias("avg_goldstein"),
+        F.col("n_conflict").alias("conflict_events"),
+        F.col("conflict_intensity").alias("intensity_score"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import safe_corr
 from eventlens.functions.maps import CONFLICT_CLASSES
-from eventlens.operators.common import COUNTRY, daily_country
+from eventlens.operators.common import COUNTRY, daily_measures, mean
 
 
 def tone_sources_correlation(events: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
@@ -48,30 +48,36 @@ def media_coverage(events: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_trend(events: DataFrame, rows: int = 7) -> DataFrame:
+def sentiment_trend(events: DataFrame | None, rows: int = 7, daily: DataFrame | None = None) -> DataFrame:
     """07: daily mean tone per country and its moving mean over the current
     and ``rows - 1`` previous *observed* days of that country."""
-    daily = daily_country(events, F.avg("AvgTone").alias("daily_avg_tone"))
+    base = daily if daily is not None else daily_measures(events)
+    days = base.select("event_date", "country_code", mean("tone_sum", "tone_n").alias("daily_avg_tone"))
     w = (
         Window.partitionBy("country_code")
         .orderBy(F.col("event_date").asc_nulls_first())
         .rowsBetween(-(rows - 1), Window.currentRow)
     )
-    return daily.withColumn("moving_avg_7d", F.avg("daily_avg_tone").over(w))
+    return days.withColumn("moving_avg_7d", F.avg("daily_avg_tone").over(w))
 
 
-def tone_lag_analysis(events: DataFrame, quad: Sequence[int] = CONFLICT_CLASSES) -> DataFrame:
+def tone_lag_analysis(
+    events: DataFrame | None,
+    quad: Sequence[int] = CONFLICT_CLASSES,
+    daily: DataFrame | None = None,
+) -> DataFrame:
     """13: per country, correlation of the daily mean tone with the conflict
     count of the next observed day; the last day of a country has no partner
     and is dropped.  ``observations`` counts the remaining days."""
-    daily = daily_country(
-        events,
-        F.avg("AvgTone").alias("avg_tone"),
-        F.sum(F.when(F.col("QuadClass").isin(*quad), 1).otherwise(0)).alias("conflict_count"),
+    base = daily if daily is not None else daily_measures(events, quad)
+    days = base.select(
+        "event_date", "country_code",
+        mean("tone_sum", "tone_n").alias("avg_tone"),
+        F.col("n_conflict").alias("conflict_count"),
     )
     w = Window.partitionBy("country_code").orderBy(F.col("event_date").asc_nulls_first())
     return (
-        daily.withColumn("next_day_conflicts", F.lead("conflict_count", 1).over(w))
+        days.withColumn("next_day_conflicts", F.lead("conflict_count", 1).over(w))
         .filter(F.col("next_day_conflicts").isNotNull())
         .groupBy("country_code")
         .agg(

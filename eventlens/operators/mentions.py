@@ -23,6 +23,7 @@ def escalation_events(
     growth: float = 2.0,
     min_mentions: int = 10,
     stage_dir: str | None = None,
+    hourly: DataFrame | None = None,
 ) -> DataFrame:
     """09: hours whose mention count grew by more than ``growth`` over the
     previous observed hour and reached ``min_mentions``.
@@ -47,14 +48,15 @@ def escalation_events(
       result    = matched UNION unmatched   == the left join.
 
     Without ``stage_dir`` the plan is the plain left join (lazy, no writes).
+    ``hourly`` is an already built ``hourly_mentions`` base (shared with 17).
     """
     prev = F.col("prev_mentions")
     rate = F.when(
         prev > 0, (F.col("hourly_mentions") - prev) / prev
     ).otherwise(F.lit(0.0))
+    base = hourly if hourly is not None else hourly_mentions(mentions)
     hot = (
-        hourly_mentions(mentions)
-        .withColumn("growth_rate", rate)
+        base.withColumn("growth_rate", rate)
         .filter((F.col("growth_rate") > growth) & (F.col("hourly_mentions") >= min_mentions))
         .drop("prev_mentions")
     )
@@ -83,12 +85,15 @@ def escalation_events(
     return matched.unionByName(unmatched)
 
 
-def breaking_news(mentions: DataFrame, min_mentions: int = 100) -> DataFrame:
+def breaking_news(
+    mentions: DataFrame | None, min_mentions: int = 100, hourly: DataFrame | None = None
+) -> DataFrame:
     """17: hours with more than ``min_mentions`` mentions whose previous observed
-    hour is absent (or 0).  Counts are never 0, so these are first hours."""
+    hour is absent (or 0).  Counts are never 0, so these are first hours.
+    ``hourly`` is an already built ``hourly_mentions`` base (shared with 09)."""
+    base = hourly if hourly is not None else hourly_mentions(mentions)
     return (
-        hourly_mentions(mentions)
-        .filter(
+        base.filter(
             (F.coalesce(F.col("prev_mentions"), F.lit(0)) == 0)
             & (F.col("hourly_mentions") > min_mentions)
         )
