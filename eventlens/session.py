@@ -6,7 +6,6 @@ scripts, the bench and tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,7 +68,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/eventlens/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_scratch(prefix: str = "run-") -> str:
-    """A new local folder for tests and benches."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("EVENTLENS_TMP", "/tmp"))

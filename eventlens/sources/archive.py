@@ -42,10 +42,14 @@ def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"value": chunk, "source_file": [path] * len(chunk)})
 
 
+def unzip_lines(archives: DataFrame) -> DataFrame:
+    """``binaryFile`` rows (batch or stream) -> ``value``, ``source_file`` lines."""
+    return archives.select("path", "content").mapInPandas(
+        _unzip, schema="value string, source_file string"
+    )
+
+
 def read_zip_lines(spark: SparkSession, paths: str | list[str], glob: str = "*.zip") -> DataFrame:
     """Lines of the first member of each archive, with ``source_file`` and ``ts``."""
     archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
-    lines = archives.select("path", "content").mapInPandas(
-        _unzip, schema="value string, source_file string"
-    )
-    return with_slot(lines)
+    return with_slot(unzip_lines(archives))

@@ -16,22 +16,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlens.session import ensure_checkpoint_dir
+from eventlens.sources.archive import unzip_lines
 from eventlens.sources.delimited import parse_lines, with_slot
 from eventlens.sources.ingest import FEED_SUFFIXES
 from eventlens.sources.tables import write_slots
 
 
+# The fixed schema of the binaryFile source (a stream must be given one).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def stream_rows(
-    spark: SparkSession, landing: str, table: str, max_files: int | None = None, glob: str | None = None
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    max_files: int | None = None,
+    glob: str | None = None,
+    archives: bool = False,
 ) -> DataFrame:
-    """Streaming DataFrame of typed rows of one feed, with ``ts``."""
-    reader = (
-        spark.readStream.format("text")
-        .option("pathGlobFilter", glob or f"*{FEED_SUFFIXES[table]}")
+    """Streaming DataFrame of typed rows of one feed, with ``ts``.
+
+    With ``archives`` the landed files are zip archives (``*<suffix>.zip``):
+    each new archive is unpacked inside its task, as in the batch path.
+    """
+    suffix = FEED_SUFFIXES[table] + (".zip" if archives else "")
+    reader = spark.readStream.format("binaryFile" if archives else "text").option(
+        "pathGlobFilter", glob or f"*{suffix}"
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    lines = reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"))
+    if archives:
+        lines = unzip_lines(reader.schema(BINARY_FILE_SCHEMA).load(landing))
+    else:
+        lines = reader.load(landing).select(
+            "value", F.col("_metadata.file_path").alias("source_file")
+        )
     return parse_lines(with_slot(lines), table, keep=("ts",)).filter("ts IS NOT NULL")
 
 
@@ -44,6 +63,7 @@ def start_ingest(
     available_now: bool = True,
     max_files: int | None = None,
     glob: str | None = None,
+    archives: bool = False,
 ) -> StreamingQuery:
     """Start the incremental load of one table.  With ``available_now`` the
     query processes what has landed and stops (batch-like scheduling)."""
@@ -53,7 +73,7 @@ def start_ingest(
         write_slots(batch, table_root, table)
 
     writer = (
-        stream_rows(spark, landing, table, max_files, glob)
+        stream_rows(spark, landing, table, max_files, glob, archives)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", location)
         .queryName(f"ingest_{table}")
@@ -64,9 +84,11 @@ def start_ingest(
 
 def ingest_available(
     spark: SparkSession, landing: str, table_root: str, tables=("events", "mentions", "gkg"),
-    checkpoint_root: str | None = None,
+    checkpoint_root: str | None = None, archives: bool = False,
 ) -> None:
     """Run the available-now load of each table to completion."""
     for table in tables:
         ckpt = f"{checkpoint_root.rstrip('/')}/{table}" if checkpoint_root else None
-        start_ingest(spark, landing, table_root, table, checkpoint=ckpt).awaitTermination()
+        start_ingest(
+            spark, landing, table_root, table, checkpoint=ckpt, archives=archives
+        ).awaitTermination()
