@@ -58,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if found:
         return found
     local = tempfile.mkdtemp(prefix="eventlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:  # Spark Connect: no context; the folder is still usable locally
+        pass
     return local
 
 
