@@ -55,7 +55,8 @@ def date_sql(col: str) -> str:
 
 
 def corr_sql(expr: str) -> str:
-    return f"round(CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END, 6)"
+    # "+ 0.0" turns DuckDB's -0.0 into 0.0, as Spark's decimal round gives.
+    return f"(round(CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END, 6) + 0.0)"
 
 
 CONFLICT = "QuadClass IN (3, 4)"
@@ -127,7 +128,7 @@ daily AS (
  FROM g_events WHERE {HAS_COUNTRY} GROUP BY 1, 2)
 |SELECT event_date, country_code, daily_avg_tone,
        round(avg(daily_avg_tone) OVER (PARTITION BY country_code ORDER BY event_date ASC NULLS FIRST
-             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9) AS moving_avg_7d
+             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9) + 0.0 AS moving_avg_7d
 FROM daily"""
 
 _BODIES["conflict_country_pairs"] = f"""
@@ -302,8 +303,23 @@ def result_cte(name: str, alias: str | None = None) -> tuple[str, str]:
     return extra, f"{alias} AS ({select})"
 
 
+# DATE outputs of each analysis; the check form renders them as ISO text.
+DATE_COLUMNS = {
+    "conflict_heatmap": ["event_date"],
+    "top_countries_events": ["event_date"],
+    "tone_sources_correlation": ["analysis_date"],
+    "sentiment_trend": ["event_date"],
+    "top_organizations": ["event_date"],
+    "quadclass_timeline": ["event_date"],
+}
+
+
 def analysis_sql(name: str) -> str:
     extra, select = analysis_cte(name)
+    dates = DATE_COLUMNS.get(name)
+    if dates:
+        replaced = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates)
+        select = f"SELECT * REPLACE ({replaced}) FROM ({select})"
     return compose((extra, ""), final=select)
 
 
@@ -390,18 +406,18 @@ FROM (SELECT *, cast(row_number() OVER (PARTITION BY interaction_type
 WHERE rank <= 8"""),
     "view_lag_top": (("tone_lag_analysis",), """
 SELECT country_code, r AS lag_correlation FROM (
- SELECT country_code, round(lag_correlation, 3) AS r FROM tone_lag_analysis
+ SELECT country_code, round(lag_correlation, 3) + 0.0 AS r FROM tone_lag_analysis
  WHERE lag_correlation IS NOT NULL)
 ORDER BY r DESC, country_code LIMIT 10"""),
     "view_top_ethnic": (("ethnic_conflict_frequency",), """
 SELECT ethnicity, conflict_count FROM ethnic_conflict_frequency
 ORDER BY conflict_count DESC, ethnicity LIMIT 10"""),
     "view_top_coverage": (("media_coverage",), """
-SELECT country_code, round(r, 2) AS mentions_per_event FROM (
+SELECT country_code, round(r, 2) + 0.0 AS mentions_per_event FROM (
  SELECT country_code, mentions_per_event_ratio AS r FROM media_coverage
  ORDER BY r DESC NULLS LAST, country_code LIMIT 10)"""),
     "view_top_diversity": (("source_diversity_index",), """
-SELECT country_code, round(d, 2) AS diversity_index FROM (
+SELECT country_code, round(d, 2) + 0.0 AS diversity_index FROM (
  SELECT country_code, diversity_index AS d FROM source_diversity_index
  ORDER BY d DESC, country_code LIMIT 10)"""),
     "view_top_actor_pairs": (("actor_interaction_matrix",), """
@@ -430,8 +446,10 @@ SELECT {_blank(["GLOBALEVENTID", "mention_hour", "hourly_mentions", "growth_rate
  ORDER BY GLOBALEVENTID ASC NULLS FIRST, mention_hour ASC NULLS FIRST,
           ActionGeo_CountryCode ASC NULLS FIRST, EventCode ASC NULLS FIRST LIMIT 50)"""),
     "view_correlation_card": (("tone_sources_correlation",), """
-SELECT round(coalesce(correlation, 0.0), 4) AS correlation, coalesce(sample_size, 0) AS sample_size,
-       round(coalesce(avg_tone, 0.0), 2) AS avg_tone, round(coalesce(avg_sources, 0.0), 2) AS avg_sources
+SELECT round(coalesce(correlation, 0.0), 4) + 0.0 AS correlation,
+       coalesce(sample_size, 0) AS sample_size,
+       round(coalesce(avg_tone, 0.0), 2) + 0.0 AS avg_tone,
+       round(coalesce(avg_sources, 0.0), 2) + 0.0 AS avg_sources
 FROM tone_sources_correlation"""),
     "view_hour_labels": (("hourly_event_density",), """
 SELECT hour_utc, cast(hour_utc AS varchar) || ':00' AS hour_label, event_count

@@ -1,10 +1,11 @@
 """Named queries over the driver's test tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each query projects the test tables into feed shape (``fixtures``) and runs
-one library function on them.  The only thing added here is the check
-convention shared with ``oracle_sql``: correlations rounded to 6 digits and
-the moving average to 9, since two engines sum floating values in different
-orders.  The library functions themselves return full precision.
+one library function on them.  The only things added here are the check
+conventions shared with ``oracle_sql``: correlations rounded to 6 digits and
+the moving average to 9 (two engines sum floating values in different
+orders), and DATE columns rendered as ISO text.  The library functions
+themselves return full precision and DATE types.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlens import operators as ops
 from eventlens.functions import continent
@@ -58,9 +60,20 @@ def _analysis(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn(*[loaders[t](spark, sf_dir) for t in needs])
 
 
+def iso_dates(df: DataFrame) -> DataFrame:
+    """DATE columns as ``yyyy-MM-dd`` text (lossless).  Engines hand dates to
+    pandas differently (date objects vs. timestamps), so the check form of a
+    result carries them as text on both sides."""
+    return df.select(*[
+        F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, T.DateType)
+        else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 def _bind(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _analysis(name, spark, sf_dir)
+        return iso_dates(_analysis(name, spark, sf_dir))
 
     run.__name__ = name
     return run
