@@ -36,17 +36,22 @@ def result_page(df: DataFrame, order: list[str | Column], n: int = 500) -> DataF
     return _iso_dates(df.orderBy(*order).limit(n))
 
 
-def result_summary(results: Mapping[str, DataFrame]) -> DataFrame:
-    """V2: row count per result plus a ``total`` row."""
+def result_summary(results: Mapping[str, DataFrame], run_record: DataFrame | None = None) -> DataFrame:
+    """V2: row count per result plus a ``total`` row; with the run record, a
+    ``last_run`` column holds the time of the latest run."""
     counts = None
     for name, df in results.items():
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("result"), "row_count"
         )
         counts = one if counts is None else counts.unionByName(one)
-    return counts.rollup("result").agg(F.sum("row_count").alias("row_count")).select(
+    summary = counts.rollup("result").agg(F.sum("row_count").alias("row_count")).select(
         F.coalesce(F.col("result"), F.lit("total")).alias("result"), "row_count"
     )
+    if run_record is None:
+        return summary
+    # A scalar subquery: the latest run time over the whole record.
+    return summary.withColumn("last_run", run_record.agg(F.max("last_run")).scalar())
 
 
 def country_totals(top_countries: DataFrame, n: int = 10) -> DataFrame:

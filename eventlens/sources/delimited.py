@@ -95,3 +95,14 @@ def with_slot(lines: DataFrame, path_col: str = "source_file") -> DataFrame:
 def read_delimited(spark: SparkSession, paths: str | list[str], table: str, glob: str | None = None) -> DataFrame:
     """Typed rows of ``table`` from text files, with ``ts`` from the file name."""
     return parse_lines(read_lines(spark, paths, glob), table, keep=("ts",))
+
+
+def slot_report(lines: DataFrame, table: str, value: str = "value") -> DataFrame:
+    """Per slot: lines accepted and lines rejected for having too many fields
+    (the ingest metric), in one aggregation over the landed lines."""
+    width = len(TABLE_COLUMNS[table])
+    n = F.size("_fields")
+    return split_fields(lines, value).groupBy("ts").agg(
+        F.count_if(n <= width).alias("accepted"),
+        F.count_if(n > width).alias("rejected"),
+    )
