@@ -20,6 +20,9 @@ FEED_SUFFIXES = {
 }
 # --- end of fixed values ---
 
+# Hadoop glob alternation: the bare name or a compressed one.
+TEXT_EXTENSIONS = "{,.gz,.bz2}"
+
 
 def landed_rows(spark: SparkSession, landing: str, table: str, archives: bool = False) -> DataFrame:
     """Typed rows of all landed files of one feed, with ``ts`` from the file name."""
@@ -27,7 +30,8 @@ def landed_rows(spark: SparkSession, landing: str, table: str, archives: bool =
     if archives:
         lines = read_zip_lines(spark, landing, glob=f"*{suffix}.zip")
     else:
-        lines = read_lines(spark, landing, glob=f"*{suffix}")
+        # Plain or compressed text: Spark decompresses .gz / .bz2 by extension.
+        lines = read_lines(spark, landing, glob=f"*{suffix}{TEXT_EXTENSIONS}")
     return parse_lines(lines, table, keep=("ts",))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources.archive import unzip_lines
 from eventlens.sources.delimited import parse_lines, with_slot
-from eventlens.sources.ingest import FEED_SUFFIXES
+from eventlens.sources.ingest import FEED_SUFFIXES, TEXT_EXTENSIONS
 from eventlens.sources.tables import write_slots
 
 
@@ -39,7 +39,7 @@ def stream_rows(
     With ``archives`` the landed files are zip archives (``*<suffix>.zip``):
     each new archive is unpacked inside its task, as in the batch path.
     """
-    suffix = FEED_SUFFIXES[table] + (".zip" if archives else "")
+    suffix = FEED_SUFFIXES[table] + (".zip" if archives else TEXT_EXTENSIONS)
     reader = spark.readStream.format("binaryFile" if archives else "text").option(
         "pathGlobFilter", glob or f"*{suffix}"
     )
