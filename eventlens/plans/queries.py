@@ -14,11 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventlens import operators as ops
 from eventlens.functions import continent
 from eventlens.plans import fixtures
+from eventlens.plans.views import iso_dates
 from eventlens.plans.oracle_sql import ANALYSIS_DATE
 from eventlens.session import scratch_path
 
@@ -60,18 +60,9 @@ def _analysis(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn(*[loaders[t](spark, sf_dir) for t in needs])
 
 
-def iso_dates(df: DataFrame) -> DataFrame:
-    """DATE columns as ``yyyy-MM-dd`` text (lossless).  Engines hand dates to
-    pandas differently (date objects vs. timestamps), so the check form of a
-    result carries them as text on both sides."""
-    return df.select(*[
-        F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, T.DateType)
-        else F.col(f.name)
-        for f in df.schema.fields
-    ])
-
-
 def _bind(name: str) -> Query:
+    # Engines hand dates to pandas differently (date objects vs. timestamps),
+    # so the check form of a result carries DATE columns as ISO text.
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return iso_dates(_analysis(name, spark, sf_dir))
 

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _iso_dates(df: DataFrame) -> DataFrame:
+def iso_dates(df: DataFrame) -> DataFrame:
+    """DATE columns as ``yyyy-MM-dd`` text (lossless); other columns unchanged."""
     return df.select(*[
         F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, T.DateType)
         else F.col(f.name)
@@ -33,7 +34,7 @@ def _blank_nulls(df: DataFrame) -> DataFrame:
 
 def result_page(df: DataFrame, order: list[str | Column], n: int = 500) -> DataFrame:
     """V1: the first ``n`` rows by ``order``, dates as ISO text."""
-    return _iso_dates(df.orderBy(*order).limit(n))
+    return iso_dates(df.orderBy(*order).limit(n))
 
 
 def result_summary(results: Mapping[str, DataFrame], run_record: DataFrame | None = None) -> DataFrame:
@@ -74,7 +75,7 @@ def heat_top(heatmap: DataFrame, n: int = 15) -> DataFrame:
         )
         .orderBy(F.desc("intensity_score"), "country_code", F.asc_nulls_first("event_date"))
         .limit(n)
-        .transform(_iso_dates)
+        .transform(iso_dates)
     )
 
 
@@ -147,7 +148,7 @@ def tone_series(trend: DataFrame, countries: int = 5, days: int = 30) -> DataFra
             "country_code", "day_index", "event_date",
             F.coalesce(F.col("moving_avg_7d"), F.col("daily_avg_tone")).alias("tone_value"),
         )
-        .transform(_iso_dates)
+        .transform(iso_dates)
     )
 
 
@@ -225,7 +226,7 @@ def top_org_names(orgs: DataFrame, n: int = 12, width: int = 25) -> DataFrame:
         .select(
             "event_date", F.substring("org_name", 1, width).alias("org_label"), "mention_count"
         )
-        .transform(_iso_dates)
+        .transform(iso_dates)
     )
 
 
