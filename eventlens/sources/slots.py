@@ -1,7 +1,8 @@
 """S6 + S7: 15-minute slot planning and retention, as DataFrame expressions.
 
-Slot stamps are ``yyyyMMddHHmmss`` strings.  Times are read in the session
-time zone (set it to UTC).
+Slot stamps are ``yyyyMMddHHmmss`` strings of UTC wall-clock time.  All
+arithmetic is on TIMESTAMP_NTZ, so results do not depend on the session time
+zone.
 """
 
 from __future__ import annotations
@@ -16,22 +17,50 @@ SLOT_SECONDS = 15 * 60
 
 
 def slot_time(stamp: Column | str) -> Column:
-    """Slot stamp text (or a yyyyMMddHHmmss number) -> TIMESTAMP; malformed -> NULL."""
-    c = F.col(stamp) if isinstance(stamp, str) else stamp
-    return F.try_to_timestamp(c.cast("string"), F.lit(SLOT_FORMAT))
+    """Slot stamp text (or a yyyyMMddHHmmss number) -> TIMESTAMP_NTZ; malformed -> NULL.
+
+    Wall-clock time without a zone: the result does not depend on the
+    session time zone (no daylight-saving gaps or repeats).
+    """
+    c = (F.col(stamp) if isinstance(stamp, str) else stamp).cast("string")
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(c, start, length).try_cast("int")
+
+    made = F.try_make_timestamp_ntz(
+        years=part(1, 4), months=part(5, 2), days=part(7, 2),
+        hours=part(9, 2), mins=part(11, 2), secs=part(13, 2),
+    )
+    return F.when(c.rlike("^[0-9]{14}$"), made)
 
 
 def slot_floor(ts: Column) -> Column:
-    """Start of the 15-minute slot containing ``ts``."""
-    return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / SLOT_SECONDS) * SLOT_SECONDS)
+    """Start of the 15-minute slot containing ``ts`` (TIMESTAMP_NTZ)."""
+    return F.try_make_timestamp_ntz(
+        years=F.year(ts), months=F.month(ts), days=F.dayofmonth(ts), hours=F.hour(ts),
+        mins=F.floor(F.minute(ts) / 15).cast("int") * 15, secs=F.lit(0),
+    )
+
+
+def day_start(ts: Column) -> Column:
+    return F.try_make_timestamp_ntz(
+        years=F.year(ts), months=F.month(ts), days=F.dayofmonth(ts),
+        hours=F.lit(0), mins=F.lit(0), secs=F.lit(0),
+    )
 
 
 def slot_stamp(ts: Column) -> Column:
-    return F.date_format(ts, SLOT_FORMAT)
+    """TIMESTAMP_NTZ -> ``yyyyMMddHHmmss``, built from its fields (``date_format``
+    would pass the value through the session time zone)."""
+    return F.format_string(
+        "%04d%02d%02d%02d%02d%02d",
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+        F.second(ts).cast("int"),
+    )
 
 
 def _ts_literal(now: dt.datetime | str) -> Column:
-    return F.lit(str(now)).cast("timestamp")
+    return F.lit(str(now)).cast("timestamp_ntz")
 
 
 def due_slots(spark: SparkSession, now: dt.datetime | str, n: int = 4) -> DataFrame:
@@ -64,7 +93,7 @@ def missing_slots(loaded: DataFrame, stamp_col: str = "ts") -> DataFrame:
     days = bounds.select(
         "lo", "hi",
         F.explode(
-            F.sequence(F.date_trunc("DD", "lo"), F.date_trunc("DD", "hi"), F.expr("INTERVAL 1 DAY"))
+            F.sequence(day_start(F.col("lo")), day_start(F.col("hi")), F.expr("INTERVAL 1 DAY"))
         ).alias("day"),
     )
     expected = (
