@@ -2,15 +2,15 @@
 
 Spark has no zip codec, so this is the one place with Python per record: a
 ``mapInPandas`` over ``binaryFile`` rows unpacks each archive inside its task
-(one archive per row, so archives spread over tasks) and emits its lines in
-bounded batches.  Plain or gzip text needs none of this: ``read_lines`` reads
-it directly.
+(one archive per row, so archives spread over tasks) and streams its lines
+through an incremental decoder in bounded batches, so a task holds one
+compressed archive plus one batch of lines, never the whole decoded text.
+Plain or gzip text needs none of this: ``read_lines`` reads it directly.
 """
 
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from collections.abc import Iterator
 
@@ -19,27 +19,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventlens.sources.delimited import with_slot
 
-_LINE_BREAK = re.compile(r"\r\n|\n|\r")
 _BATCH = 50_000
 
 
+def _member_lines(content: bytes) -> Iterator[str]:
+    """Lines of the first member, decoded incrementally (invalid UTF-8 ->
+    U+FFFD; \\n, \\r\\n and \\r all end a line)."""
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        members = zf.namelist()
+        if not members:
+            return
+        with zf.open(members[0]) as raw:
+            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline=None)
+            for line in text:
+                yield line[:-1] if line.endswith("\n") else line
+
+
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
+            chunk: list[str] = []
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    members = zf.namelist()
-                    if not members:
-                        continue
-                    text = zf.read(members[0]).decode("utf-8", errors="replace")
+                for line in _member_lines(content):
+                    chunk.append(line)
+                    if len(chunk) >= _BATCH:
+                        yield pd.DataFrame({"value": chunk, "source_file": path})
+                        chunk = []
             except zipfile.BadZipFile:
                 continue
-            lines = _LINE_BREAK.split(text)
-            if lines and lines[-1] == "":
-                lines.pop()
-            for start in range(0, len(lines), _BATCH):
-                chunk = lines[start:start + _BATCH]
-                yield pd.DataFrame({"value": chunk, "source_file": [path] * len(chunk)})
+            if chunk:
+                yield pd.DataFrame({"value": chunk, "source_file": path})
 
 
 def unzip_lines(archives: DataFrame) -> DataFrame:
