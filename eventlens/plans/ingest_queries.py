@@ -9,6 +9,8 @@
   (available-now) load.
 * ``due_slots``: gap report of 15-minute slots of the events' DATEADDED.
 * ``retain_since``: retention filter over event slot stamps.
+* ``run_all_summary``: the runner writes all nineteen result tables; the
+  summary view then counts the written tables (R2, S9, V2 end to end).
 
 Landing and table folders go under the shared checkpoint folder.
 """
@@ -98,10 +100,29 @@ def retain_since_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retain_since(events, RETAIN_NOW, hours=RETAIN_HOURS)
 
 
+def run_all_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.operators import ANALYSIS_NAMES
+    from eventlens.plans.oracle_sql import ANALYSIS_DATE
+    from eventlens.plans.runner import run_all
+    from eventlens.plans.views import result_summary
+    from eventlens.sources.sinks import read_result
+
+    out = scratch_path(spark, "run-all")
+    statuses = run_all(
+        spark, fixtures.inputs(spark, sf_dir), out,
+        params={"tone_sources_correlation": {"as_of": ANALYSIS_DATE}},
+    )
+    failed = [s for s in statuses if s["status"] == "failed"]
+    if failed:
+        raise RuntimeError(f"analyses failed: {failed}")
+    return result_summary({name: read_result(spark, out, name) for name in ANALYSIS_NAMES})
+
+
 def all_queries() -> dict:
     out = {f"ingest_{t}": (lambda t: lambda spark, sf: ingest_roundtrip(spark, sf, t))(t)
            for t in ("events", "mentions", "gkg")}
     out["ingest_stream_events"] = ingest_stream_events
     out["due_slots"] = due_slots_query
     out["retain_since"] = retain_since_query
+    out["run_all_summary"] = run_all_summary
     return out
