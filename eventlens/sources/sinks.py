@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# --- fixed values: name of the run-record table, as the reference names it ---
 RUN_RECORD = "pipeline_metadata"
+# --- end of fixed values ---
 
 RUN_RECORD_SCHEMA = T.StructType([
     T.StructField("last_run", T.StringType()),
