@@ -34,6 +34,9 @@ def main(argv: list[str] | None = None) -> int:
     analyze.add_argument("--keep-old-on-empty", action="store_true",
                          help="do not replace a result with an empty one")
     analyze.add_argument("--no-shared-bases", action="store_true")
+    analyze.add_argument("--retain-hours", type=float,
+                         help="only slots not older than now minus this many hours")
+    analyze.add_argument("--now", help="reference time for --retain-hours (UTC, default: now)")
 
     gaps = sub.add_parser("gaps", help="missing slots of one feed table")
     gaps.add_argument("--tables", required=True)
@@ -62,6 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         statuses = run_from_tables(
             spark, args.tables, args.out, fmt=args.format,
             write_empty=not args.keep_old_on_empty, share_bases=not args.no_shared_bases,
+            retain_hours=args.retain_hours, now=args.now,
         )
         for status in statuses:
             print(json.dumps(status))

@@ -23,6 +23,7 @@ from eventlens.operators import ANALYSES
 from eventlens.operators.common import daily_measures, hourly_mentions
 from eventlens.session import scratch_path
 from eventlens.sources.sinks import RUN_RECORD, read_result, run_record, write_result
+from eventlens.sources.slots import retain_since
 from eventlens.sources.tables import load_table
 
 log = logging.getLogger(__name__)
@@ -42,8 +43,22 @@ INPUT_COLUMNS = {
 }
 
 
-def load_inputs(spark: SparkSession, table_root: str) -> dict[str, DataFrame | None]:
-    return {t: load_table(spark, table_root, t) for t in INPUT_COLUMNS}
+def load_inputs(
+    spark: SparkSession,
+    table_root: str,
+    retain_hours: float | None = None,
+    now: dt.datetime | str | None = None,
+) -> dict[str, DataFrame | None]:
+    """The feed tables; with ``retain_hours`` only slots not older than
+    ``now - retain_hours`` (pruned on the partition column, not deleted)."""
+    tables = {t: load_table(spark, table_root, t) for t in INPUT_COLUMNS}
+    if retain_hours is None:
+        return tables
+    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return {
+        t: None if df is None else retain_since(df, now, hours=retain_hours)
+        for t, df in tables.items()
+    }
 
 
 def run_all(
@@ -139,6 +154,13 @@ def _shared_bases(spark: SparkSession, inputs: Mapping[str, DataFrame | None]) -
     return shared
 
 
-def run_from_tables(spark: SparkSession, table_root: str, out_root: str, **kwargs) -> list[dict]:
-    """Load the feed tables under ``table_root`` (S8) and run everything."""
-    return run_all(spark, load_inputs(spark, table_root), out_root, **kwargs)
+def run_from_tables(
+    spark: SparkSession,
+    table_root: str,
+    out_root: str,
+    retain_hours: float | None = None,
+    now: dt.datetime | str | None = None,
+    **kwargs,
+) -> list[dict]:
+    """Load the feed tables under ``table_root`` (S8, optionally S7) and run everything."""
+    return run_all(spark, load_inputs(spark, table_root, retain_hours, now), out_root, **kwargs)
