@@ -13,6 +13,8 @@ both, so the check compares analyses, not two hand-kept copies of the inputs.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -89,10 +91,19 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+# Projected frames per session: a DataFrame is an immutable logical plan, so
+# repeated queries reuse it instead of re-parsing twenty expressions.
+_FRAMES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def project(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The projected feed table ``table`` read from ``sf_dir``."""
     source, items = PROJECTIONS[table]
-    return _read(spark, f"{sf_dir.rstrip('/')}/{source}.parquet").selectExpr(*items)
+    key = (sf_dir.rstrip("/"), table)
+    frames = _FRAMES.setdefault(spark, {})
+    if key not in frames:
+        frames[key] = _read(spark, f"{key[0]}/{source}.parquet").selectExpr(*items)
+    return frames[key]
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
