@@ -11,6 +11,8 @@ which makes a replayed batch idempotent after a failure.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,7 +69,12 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the incremental load of one table.  With ``available_now`` the
     query processes what has landed and stops (batch-like scheduling)."""
-    location = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens/ingest/{table}"
+    if checkpoint is None:
+        # One checkpoint per (landing, target, table): a stream's record of seen
+        # files must never be shared with another source folder.
+        tag = hashlib.sha1(f"{landing}|{table_root}|{archives}".encode()).hexdigest()[:12]
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens/ingest/{table}-{tag}"
+    location = checkpoint
 
     def write(batch: DataFrame, _epoch: int) -> None:
         write_slots(batch, table_root, table)
