@@ -1,0 +1 @@
+"""Structured Streaming: the incremental, checkpointed load of landed feed files."""
