@@ -24,7 +24,11 @@ def conflict_heatmap(
     ``daily`` is an already built ``daily_measures`` base (its conflict
     classes apply); without it the base is built from ``events``.
     """
-    base = daily if daily is not None else daily_measures(events, quad)
+    if daily is None:
+        # Alone, only conflict rows are needed: the filter reaches the scan.
+        conflict_rows = events.filter(F.col("QuadClass").isin(*quad))
+        daily = daily_measures(conflict_rows, quad)
+    base = daily
     return base.filter(F.col("n_conflict") > 0).select(
         "event_date",
         "country_code",
