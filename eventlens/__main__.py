@@ -4,6 +4,8 @@
            (batch, or --stream for the incremental available-now load)
   analyze  run the nineteen analyses over the tables, write one result each
   gaps     list the 15-minute slots missing between the first and last loaded one
+  migrate  rewrite slot folders written with per-file inferred types into the
+           fixed-type layout
 """
 
 from __future__ import annotations
@@ -42,6 +44,11 @@ def main(argv: list[str] | None = None) -> int:
     gaps.add_argument("--tables", required=True)
     gaps.add_argument("--table", choices=TABLES, default="events")
 
+    migrate = sub.add_parser("migrate", help="re-type slots written with inferred types")
+    migrate.add_argument("--source", required=True, help="root holding <table>/ts=<stamp>/ folders")
+    migrate.add_argument("--tables", required=True, help="root of the fixed-type feed tables")
+    migrate.add_argument("--only", choices=TABLES, action="append")
+
     args = parser.parse_args(argv)
 
     from eventlens.session import build_session
@@ -82,6 +89,13 @@ def main(argv: list[str] | None = None) -> int:
         # the gap list is bounded by the time span, so printing it is fine
         for row in missing_slots(table.select("ts").distinct()).orderBy("ts").toLocalIterator():
             print(row.ts)
+    elif args.command == "migrate":
+        from eventlens.sources.legacy import read_legacy_table
+        from eventlens.sources.tables import write_slots
+
+        for table in args.only or list(TABLES):
+            rows = read_legacy_table(spark, f"{args.source.rstrip('/')}/{table}", table)
+            write_slots(rows.drop("load_timestamp").filter("ts IS NOT NULL"), args.tables, table)
     return 0
 
 
