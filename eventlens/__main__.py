@@ -6,6 +6,7 @@
   gaps     list the 15-minute slots missing between the first and last loaded one
   migrate  rewrite slot folders written with per-file inferred types into the
            fixed-type layout
+  show     print one read-out view over the written results
 """
 
 from __future__ import annotations
@@ -49,6 +50,11 @@ def main(argv: list[str] | None = None) -> int:
     migrate.add_argument("--tables", required=True, help="root of the fixed-type feed tables")
     migrate.add_argument("--only", choices=TABLES, action="append")
 
+    show = sub.add_parser("show", help="print a view over the written results")
+    show.add_argument("--out", required=True, help="root of the result tables")
+    show.add_argument("--view", required=True, help="view name, e.g. view_heat_top")
+    show.add_argument("--format", default="parquet")
+
     args = parser.parse_args(argv)
 
     from eventlens.session import build_session
@@ -96,6 +102,16 @@ def main(argv: list[str] | None = None) -> int:
         for table in args.only or list(TABLES):
             rows = read_legacy_table(spark, f"{args.source.rstrip('/')}/{table}", table)
             write_slots(rows.drop("load_timestamp").filter("ts IS NOT NULL"), args.tables, table)
+    elif args.command == "show":
+        from eventlens.plans.readout import result_views
+
+        views = result_views(spark, args.out, args.format)
+        if args.view not in views:
+            print(f"unknown view; one of: {', '.join(sorted(views))}", file=sys.stderr)
+            return 1
+        # every view is bounded by construction (top-n cuts, pages, fixed grids)
+        for row in views[args.view].toLocalIterator():
+            print(json.dumps(row.asDict(), default=str))
     return 0
 
 
