@@ -5,8 +5,9 @@ missing is skipped with a status; a failing analysis does not stop the
 others.  Each result's plan executes once (the write); its row count is then
 read from the written table's footers.  Analyses that can stage an
 intermediate (``stage_dir``) get a folder under the shared checkpoint
-location.  The run record (one row per
-analysis) is written last, so it describes what actually happened.
+location.  Results with lookup keys are written sorted on them.  The run
+record (one row per analysis) is written last, so it describes what actually
+happened.
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ from eventlens.sources.tables import load_table
 
 log = logging.getLogger(__name__)
 
-# Columns each analysis family reads; inputs are pruned to these before an
-# optional persist (a cache of full feed rows would hold every column).
 # --- fixed values: the lookup keys the reference indexes its results on ---
 RESULT_KEYS = {
     "conflict_heatmap": ["event_date", "country_code"],
@@ -48,6 +47,8 @@ def clustered(name: str, result: DataFrame) -> DataFrame:
     return result.sortWithinPartitions(*keys) if keys else result
 
 
+# Columns each analysis family reads; inputs are pruned to these before an
+# optional persist (a cache of full feed rows would hold every column).
 INPUT_COLUMNS = {
     "events": [
         "GLOBALEVENTID", "SQLDATE", "DATEADDED", "QuadClass", "GoldsteinScale", "AvgTone",
