@@ -60,8 +60,9 @@ def mean(total: str, n: str) -> Column:
 
 
 def hourly_mentions(mentions: DataFrame) -> DataFrame:
-    """Mentions per event and hour bucket, with the count of the previous
-    observed hour of the same event (``prev_mentions``; NULL for the first).
+    """Mentions per event and hour bucket, with the count and the bucket of the
+    previous observed hour of the same event (``prev_mentions``, ``prev_hour``;
+    NULL for the first).
 
     The window is ordered ascending, so a NULL hour sorts first (Spark's default).
     """
@@ -69,4 +70,30 @@ def hourly_mentions(mentions: DataFrame) -> DataFrame:
         F.col("GLOBALEVENTID"), mention_hour("MentionTimeDate").alias("mention_hour")
     ).agg(F.count(F.lit(1)).alias("hourly_mentions"))
     w = Window.partitionBy("GLOBALEVENTID").orderBy(F.col("mention_hour").asc_nulls_first())
-    return hourly.withColumn("prev_mentions", F.lag("hourly_mentions", 1).over(w))
+    return hourly.withColumn("prev_mentions", F.lag("hourly_mentions", 1).over(w)).withColumn(
+        "prev_hour", F.lag("mention_hour", 1).over(w)
+    )
+
+
+def hour_start(bucket: Column | str) -> Column:
+    """``yyyyMMddHH`` bucket -> TIMESTAMP_NTZ (zone-free); malformed -> NULL."""
+    c = F.col(bucket) if isinstance(bucket, str) else bucket
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(c, start, length).try_cast("int")
+
+    made = F.try_make_timestamp_ntz(
+        years=part(1, 4), months=part(5, 2), days=part(7, 2), hours=part(9, 2),
+        mins=F.lit(0), secs=F.lit(0),
+    )
+    return F.when(c.rlike("^[0-9]{10}$"), made)
+
+
+def previous_count(calendar: bool) -> Column:
+    """The previous hour's count: the previous *observed* hour (default), or,
+    with ``calendar``, only the directly preceding clock hour (else NULL)."""
+    prev = F.col("prev_mentions")
+    if not calendar:
+        return prev
+    adjacent = hour_start("prev_hour") + F.expr("INTERVAL 1 HOUR") == hour_start("mention_hour")
+    return F.when(adjacent, prev)

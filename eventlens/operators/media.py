@@ -48,16 +48,29 @@ def media_coverage(events: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_trend(events: DataFrame | None, rows: int = 7, daily: DataFrame | None = None) -> DataFrame:
+def sentiment_trend(
+    events: DataFrame | None,
+    rows: int = 7,
+    daily: DataFrame | None = None,
+    calendar: bool = False,
+) -> DataFrame:
     """07: daily mean tone per country and its moving mean over the current
-    and ``rows - 1`` previous *observed* days of that country."""
+    and ``rows - 1`` previous *observed* days of that country; with
+    ``calendar``, over the last ``rows`` calendar days instead."""
     base = daily if daily is not None else daily_measures(events)
     days = base.select("event_date", "country_code", mean("tone_sum", "tone_n").alias("daily_avg_tone"))
-    w = (
-        Window.partitionBy("country_code")
-        .orderBy(F.col("event_date").asc_nulls_first())
-        .rowsBetween(-(rows - 1), Window.currentRow)
-    )
+    if calendar:
+        w = (
+            Window.partitionBy("country_code")
+            .orderBy(F.unix_date("event_date").asc_nulls_first())
+            .rangeBetween(-(rows - 1), Window.currentRow)
+        )
+    else:
+        w = (
+            Window.partitionBy("country_code")
+            .orderBy(F.col("event_date").asc_nulls_first())
+            .rowsBetween(-(rows - 1), Window.currentRow)
+        )
     return days.withColumn("moving_avg_7d", F.avg("daily_avg_tone").over(w))
 
 
@@ -65,10 +78,12 @@ def tone_lag_analysis(
     events: DataFrame | None,
     quad: Sequence[int] = CONFLICT_CLASSES,
     daily: DataFrame | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
     """13: per country, correlation of the daily mean tone with the conflict
     count of the next observed day; the last day of a country has no partner
-    and is dropped.  ``observations`` counts the remaining days."""
+    and is dropped.  ``observations`` counts the remaining days.  With
+    ``calendar`` a day pairs only with the next calendar day (else dropped)."""
     base = daily if daily is not None else daily_measures(events, quad)
     days = base.select(
         "event_date", "country_code",
@@ -76,8 +91,12 @@ def tone_lag_analysis(
         F.col("n_conflict").alias("conflict_count"),
     )
     w = Window.partitionBy("country_code").orderBy(F.col("event_date").asc_nulls_first())
+    following = F.lead("conflict_count", 1).over(w)
+    if calendar:
+        next_date = F.lead("event_date", 1).over(w)
+        following = F.when(next_date == F.date_add("event_date", 1), following)
     return (
-        days.withColumn("next_day_conflicts", F.lead("conflict_count", 1).over(w))
+        days.withColumn("next_day_conflicts", following)
         .filter(F.col("next_day_conflicts").isNotNull())
         .groupBy("country_code")
         .agg(

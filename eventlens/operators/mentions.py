@@ -1,9 +1,10 @@
 """Mention dynamics: 09 escalation, 17 breaking news.
 
 Both start from the same hourly base (mentions per event and hour bucket, with
-the previous observed hour's count).  Neighbours are *observed* hours, not
-calendar hours: a gap of several hours still compares with the last hour that
-had mentions.
+the previous observed hour's count).  By default neighbours are *observed*
+hours, as in the reference code: a gap of several hours still compares with
+the last hour that had mentions.  ``calendar=True`` compares with the clock
+hour before instead, as the reference's documentation words it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.operators.common import COUNTRY, hourly_mentions
+from eventlens.operators.common import COUNTRY, hourly_mentions, previous_count
 
 
 OUTPUT = ["GLOBALEVENTID", "mention_hour", "hourly_mentions", "growth_rate", COUNTRY, "EventCode"]
@@ -24,6 +25,7 @@ def escalation_events(
     min_mentions: int = 10,
     stage_dir: str | None = None,
     hourly: DataFrame | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
     """09: hours whose mention count grew by more than ``growth`` over the
     previous observed hour and reached ``min_mentions``.
@@ -49,8 +51,10 @@ def escalation_events(
 
     Without ``stage_dir`` the plan is the plain left join (lazy, no writes).
     ``hourly`` is an already built ``hourly_mentions`` base (shared with 17).
+    With ``calendar`` the comparison is with the directly preceding clock hour
+    only (an hour after a gap grows from nothing: rate 0.0).
     """
-    prev = F.col("prev_mentions")
+    prev = previous_count(calendar)
     rate = F.when(
         prev > 0, (F.col("hourly_mentions") - prev) / prev
     ).otherwise(F.lit(0.0))
@@ -58,7 +62,7 @@ def escalation_events(
     hot = (
         base.withColumn("growth_rate", rate)
         .filter((F.col("growth_rate") > growth) & (F.col("hourly_mentions") >= min_mentions))
-        .drop("prev_mentions")
+        .drop("prev_mentions", "prev_hour")
     )
     if events is None:
         return hot.withColumn(COUNTRY, F.lit(None).cast("string")).withColumn(
@@ -69,13 +73,13 @@ def escalation_events(
         return hot.join(event_keys, "GLOBALEVENTID", "left").select(*OUTPUT)
 
     spark = hot.sparkSession
-    base = stage_dir.rstrip("/")
-    hot.write.mode("overwrite").parquet(f"{base}/hours")
-    hours = spark.read.parquet(f"{base}/hours")
+    root = stage_dir.rstrip("/")
+    hot.write.mode("overwrite").parquet(f"{root}/hours")
+    hours = spark.read.parquet(f"{root}/hours")
     hours.join(event_keys, "GLOBALEVENTID").select(*OUTPUT).write.mode("overwrite").parquet(
-        f"{base}/matched"
+        f"{root}/matched"
     )
-    matched = spark.read.parquet(f"{base}/matched")
+    matched = spark.read.parquet(f"{root}/matched")
     unmatched = (
         hours.join(matched.select("GLOBALEVENTID").distinct(), "GLOBALEVENTID", "left_anti")
         .withColumn(COUNTRY, F.lit(None).cast("string"))
@@ -86,15 +90,20 @@ def escalation_events(
 
 
 def breaking_news(
-    mentions: DataFrame | None, min_mentions: int = 100, hourly: DataFrame | None = None
+    mentions: DataFrame | None,
+    min_mentions: int = 100,
+    hourly: DataFrame | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
     """17: hours with more than ``min_mentions`` mentions whose previous observed
     hour is absent (or 0).  Counts are never 0, so these are first hours.
-    ``hourly`` is an already built ``hourly_mentions`` base (shared with 09)."""
+    ``hourly`` is an already built ``hourly_mentions`` base (shared with 09).
+    With ``calendar`` the previous clock hour must have had no mentions
+    ("from 0 to more than n within the hour"), so a burst after a gap counts."""
     base = hourly if hourly is not None else hourly_mentions(mentions)
     return (
         base.filter(
-            (F.coalesce(F.col("prev_mentions"), F.lit(0)) == 0)
+            (F.coalesce(previous_count(calendar), F.lit(0)) == 0)
             & (F.col("hourly_mentions") > min_mentions)
         )
         .select(
