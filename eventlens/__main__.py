@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> int:
     analyze.add_argument("--retain-hours", type=float,
                          help="only slots not older than now minus this many hours")
     analyze.add_argument("--now", help="reference time for --retain-hours (UTC, default: now)")
+    analyze.add_argument("--calendar", action="store_true",
+                         help="07/09/13/17 compare with calendar neighbours, not observed ones")
 
     gaps = sub.add_parser("gaps", help="missing slots of one feed table")
     gaps.add_argument("--tables", required=True)
@@ -75,10 +77,12 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "analyze":
         from eventlens.plans.runner import run_from_tables
 
+        calendar = ("sentiment_trend", "escalation_events", "tone_lag_analysis", "breaking_news")
         statuses = run_from_tables(
             spark, args.tables, args.out, fmt=args.format,
             write_empty=not args.keep_old_on_empty, share_bases=not args.no_shared_bases,
             retain_hours=args.retain_hours, now=args.now,
+            params={name: {"calendar": True} for name in calendar} if args.calendar else None,
         )
         for status in statuses:
             print(json.dumps(status))
