@@ -54,7 +54,10 @@ def main(argv: list[str] | None = None) -> int:
 
     show = sub.add_parser("show", help="print a view over the written results")
     show.add_argument("--out", required=True, help="root of the result tables")
-    show.add_argument("--view", required=True, help="view name, e.g. view_heat_top")
+    which = show.add_mutually_exclusive_group(required=True)
+    which.add_argument("--view", help="view name, e.g. view_heat_top")
+    which.add_argument("--result", help="page of one result table, e.g. conflict_heatmap")
+    show.add_argument("--n", type=int, default=500, help="page size for --result")
     show.add_argument("--format", default="parquet")
 
     args = parser.parse_args(argv)
@@ -106,6 +109,15 @@ def main(argv: list[str] | None = None) -> int:
         for table in args.only or list(TABLES):
             rows = read_legacy_table(spark, f"{args.source.rstrip('/')}/{table}", table)
             write_slots(rows.drop("load_timestamp").filter("ts IS NOT NULL"), args.tables, table)
+    elif args.command == "show" and args.result:
+        from eventlens.plans.runner import RESULT_KEYS
+        from eventlens.plans.views import result_page
+        from eventlens.sources.sinks import read_result
+
+        df = read_result(spark, args.out, args.result, args.format)
+        order = RESULT_KEYS.get(args.result, df.columns)
+        for row in result_page(df, order, args.n).toLocalIterator():
+            print(json.dumps(row.asDict(), default=str))
     elif args.command == "show":
         from eventlens.plans.readout import result_views
 
