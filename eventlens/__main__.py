@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     ingest.add_argument("--archives", action="store_true", help="landed files are .zip")
     ingest.add_argument("--stream", action="store_true", help="incremental (checkpointed) load")
     ingest.add_argument("--checkpoint", help="stream checkpoint root (default: spark.checkpoint.dir)")
+    ingest.add_argument("--report", action="store_true",
+                        help="print accepted / rejected line counts per table and slot")
 
     analyze = sub.add_parser("analyze", help="run all analyses")
     analyze.add_argument("--tables", required=True)
@@ -77,6 +79,14 @@ def main(argv: list[str] | None = None) -> int:
 
             for table in tables:
                 ingest_batch(spark, args.landing, args.tables, table, archives=args.archives)
+        if args.report:
+            from eventlens.sources.ingest import landed_lines
+            from eventlens.sources.delimited import slot_report
+
+            for table in tables:
+                lines = landed_lines(spark, args.landing, table, args.archives)
+                for row in slot_report(lines, table).orderBy("ts").toLocalIterator():
+                    print(json.dumps({"table": table, **row.asDict()}))
     elif args.command == "analyze":
         from eventlens.plans.runner import run_from_tables
 

@@ -24,15 +24,18 @@ FEED_SUFFIXES = {
 TEXT_EXTENSIONS = "{,.gz,.bz2}"
 
 
-def landed_rows(spark: SparkSession, landing: str, table: str, archives: bool = False) -> DataFrame:
-    """Typed rows of all landed files of one feed, with ``ts`` from the file name."""
+def landed_lines(spark: SparkSession, landing: str, table: str, archives: bool = False) -> DataFrame:
+    """Raw lines of all landed files of one feed, with ``ts`` from the file name."""
     suffix = FEED_SUFFIXES[table]
     if archives:
-        lines = read_zip_lines(spark, landing, glob=f"*{suffix}.zip")
-    else:
-        # Plain or compressed text: Spark decompresses .gz / .bz2 by extension.
-        lines = read_lines(spark, landing, glob=f"*{suffix}{TEXT_EXTENSIONS}")
-    return parse_lines(lines, table, keep=("ts",))
+        return read_zip_lines(spark, landing, glob=f"*{suffix}.zip")
+    # Plain or compressed text: Spark decompresses .gz / .bz2 by extension.
+    return read_lines(spark, landing, glob=f"*{suffix}{TEXT_EXTENSIONS}")
+
+
+def landed_rows(spark: SparkSession, landing: str, table: str, archives: bool = False) -> DataFrame:
+    """Typed rows of all landed files of one feed, with ``ts`` from the file name."""
+    return parse_lines(landed_lines(spark, landing, table, archives), table, keep=("ts",))
 
 
 def ingest_batch(
