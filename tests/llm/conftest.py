@@ -1,0 +1,28 @@
+from __future__ import annotations
+
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture()
+def make_docs(spark):
+    """Documents from ``(doc_id, text)`` pairs, spread over two partitions."""
+
+    def make(rows, parts: int = 2):
+        full = [(i, t, "en", f"src{(i or 0) % 3}", len(t or "")) for i, t in rows]
+        return spark.createDataFrame(full, DOCS).repartition(parts)
+
+    return make
+
+
+#: Null text and id, empty text, ties, repeated rows.
+ODD_ROWS = [
+    (1, None), (2, ""), (3, "a"), (3, "a"), (4, "a"), (None, "some words here and there again"),
+    (5, "some words here and there again"), (6, "  \n "), (7, "x" * 50_000), (8, "be be be " * 3000),
+]
+
+
+@pytest.fixture()
+def odd_rows():
+    return list(ODD_ROWS)
