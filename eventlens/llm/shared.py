@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,58 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+class WordMemo:
+    """Values of words by ``compute``, remembered for the words met lately.
+
+    Two generations of at most ``limit`` words each bound the memory; a word
+    used again moves to the young one.  Values must not be None."""
+
+    def __init__(self, compute: Callable, limit: int):
+        self._compute, self._limit = compute, limit
+        self._young: dict = {}
+        self._old: dict = {}
+
+    def _missing(self, word):
+        value = self._young.get(word)
+        if value is None:
+            value = self._old.get(word)
+            if value is None:
+                value = self._compute(word)
+            if len(word) <= 64:
+                if len(self._young) >= self._limit:
+                    self._old, self._young = self._young, {}
+                self._young[word] = value
+        return value
+
+    def one(self, word):
+        return self._missing(word)
+
+    def all(self, words: list) -> list:
+        values = list(map(self._young.get, words))
+        if None in values:
+            missing = self._missing
+            for i, value in enumerate(values):
+                if value is None:
+                    values[i] = missing(words[i])
+        return values
+
+
+def sampled_ids(rows: DataFrame, id_col: str, salt: str, limit: int) -> DataFrame:
+    """At most ``limit`` distinct ids of ``rows``, by a salted hash: a proven
+    size, fit to be broadcast.
+
+    A share of the hash range expected to hold twice as many is cut out first,
+    so the ordering never sees more than that however many rows there are."""
+    at = F.xxhash64(F.col(id_col), F.lit(salt))
+    ids = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col), at.alias("__at"))
+    share = 1 << 30
+    n = ids.count()
+    if n > 2 * limit:
+        share = max(1, share * 2 * limit // n)
+    picked = ids.where(F.pmod("__at", F.lit(1 << 30)) < share).dropDuplicates([id_col])
+    return picked.orderBy("__at", id_col).limit(limit).select(id_col)
+
+
 def min_labels(n: int, a: np.ndarray, b: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
     """Smallest reachable index for each of ``n`` nodes under links a-b.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import widened
+from eventlens.llm.shared import WordMemo, sampled_ids, widened
 
 MAX_ROWS_PER_CLASS = 800
 MAX_TRAIN_CHARS = 6000
@@ -50,15 +50,16 @@ ROUNDS = 60
 RATE = 1.0
 DAMP = 6
 DECAY = 2e-3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 _EDGES = re.compile(r"^\W+|\W+$")
 
 
 def word_buckets(word: str) -> list[int]:
-    """Embedding rows of a word: the bordered word and its n-grams."""
-    word = f"<{_EDGES.sub('', word)[:40]}>"
-    grams = {word, *(word[i:i + n] for n in GRAMS for i in range(len(word) - n + 1))}
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in sorted(grams)]
+    """Embedding rows of a bare word: the bordered word and its UTF-8 n-grams."""
+    text = f"<{word[:40]}>".encode("utf-8", "replace")
+    crc, n = zlib.crc32, len(text)
+    return [crc(text) % BUCKETS] + [
+        crc(text[i:i + k]) % BUCKETS for k in GRAMS for i in range(n - k + 1)]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -82,7 +83,7 @@ class SubwordSoftmax:
 
     def fit(self, texts: list[str], labels: np.ndarray) -> SubwordSoftmax:
         vocab: dict[str, int] = {}
-        bags: list[list[int]] = []
+        bags: list[np.ndarray] = []
         words, starts, ends, owner = [], [], [], []
         rows_with = np.zeros(BUCKETS, dtype=np.int64)
         at = 0
@@ -91,9 +92,9 @@ class SubwordSoftmax:
             for w in words_of(text):
                 i = vocab.setdefault(w, len(vocab))
                 if i == len(bags):
-                    bags.append(word_buckets(w))
+                    bags.append(np.array(word_buckets(_EDGES.sub("", w)), dtype=np.int32))
                 ws.append(i)
-            rows_with[list({g for i in set(ws) for g in bags[i]})] += 1
+            rows_with[np.unique(np.concatenate([bags[i] for i in set(ws)] or [np.zeros(0, np.int32)]))] += 1
             s, e = window_bounds(len(ws))
             words.append(np.array(ws, dtype=np.int64))
             starts.append(s + at)
@@ -102,11 +103,11 @@ class SubwordSoftmax:
             at += len(ws)
         words = np.concatenate([*words, np.zeros(1, dtype=np.int64)])
         starts, ends, owner = map(np.concatenate, (starts, ends, owner))
-        bags = bags or [[0]]
+        bags = bags or [np.zeros(1, dtype=np.int32)]
         known = rows_with >= min(MIN_DOCS, len(texts))
         self.embed[~known] = 0
         sizes = np.array([len(g) for g in bags])
-        flat = np.fromiter((g for bag in bags for g in bag), dtype=np.int64)
+        flat = np.concatenate(bags)
         held_by = np.repeat(np.arange(len(bags)), sizes)[known[flat]]
         flat = flat[known[flat]]
         used, flat = np.unique(flat, return_inverse=True)  # train on the known rows alone
@@ -169,23 +170,19 @@ class Scorer:
     """Scores texts from bucket margins, remembering words."""
 
     def __init__(self, margins: np.ndarray, bias: float):
-        self._margins, self._bias = margins, bias
-        self._cache: dict[str, float] = {}
+        self._margins, self._bias = margins.tolist(), bias
+        self._bare = WordMemo(self._bag, CACHE_WORDS)
+        self._words = WordMemo(lambda w: self._bare.one(_EDGES.sub("", w)), CACHE_WORDS)
 
-    def _word(self, word: str) -> float:
-        if len(self._cache) >= CACHE_WORDS:
-            self._cache.clear()
+    def _bag(self, word: str) -> float:
         bag = word_buckets(word)
-        value = float(self._margins[bag].sum()) / (len(bag) + DAMP)
-        if len(word) <= 64:
-            self._cache[word] = value
-        return value
+        return sum(map(self._margins.__getitem__, bag)) / (len(bag) + DAMP)
+
+    def word(self, word: str) -> float:
+        return self._words.one(word)
 
     def score(self, text: str | None) -> float:
-        get, values = self._cache.get, []
-        for word in words_of(text):
-            value = get(word)
-            values.append(self._word(word) if value is None else value)
+        values = self._words.all(words_of(text))
         margin = self._bias
         if values:
             starts, ends = window_bounds(len(values))
@@ -202,14 +199,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str =
     Labels are read only from rows whose ``crc32(id as text) mod 5`` is not 0.
     """
     known = labels.select(F.col(id_col), F.col(label).alias("y")).where(
-        F.col("y").isin(0, 1) & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
-    rows = (
-        docs.select(id_col, F.col(text_col).alias("text")).where(F.length("text") <= max_chars)
-        .join(known.dropDuplicates([id_col]), id_col)
-        .select("text", "y", F.xxhash64(F.col(id_col), F.lit("train")).alias("at"))
+        F.crc32(F.col(id_col).cast("string")) % 5 != 0)
+    ids = [sampled_ids(known.where(F.col("y") == y), id_col, "train", per_class).withColumn("y", F.lit(y))
+           for y in (0, 1)]
+    return (
+        docs.select(id_col, F.col(text_col).alias("text"))
+        .join(F.broadcast(ids[0].unionByName(ids[1])), id_col)  # per_class ids of each class at most
+        .where(F.length("text") <= max_chars).dropDuplicates([id_col, "y"]).select("text", "y")
     )
-    one = [rows.where(F.col("y") == y).orderBy("at", "text").limit(per_class) for y in (0, 1)]
-    return one[0].unionByName(one[1]).select("text", "y")
 
 
 def fit(sample: DataFrame) -> tuple[np.ndarray, float]:
