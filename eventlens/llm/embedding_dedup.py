@@ -125,7 +125,10 @@ def link_table(vectors: DataFrame, threshold: float = THRESHOLD, tile_rows: int
     for row in vectors.groupBy("dim").count().orderBy("dim").collect():  # one row per dimension
         dim, n = row["dim"], row["count"]
         own = vectors.where(F.col("dim") == dim)
-        picked = own.orderBy(F.xxhash64("rep", "key")).limit(FIT_ROWS).select("raw").collect()
+        # a hash range expected to hold twice the sample, so no ordering of all rows
+        share = (1 << 30) if n <= 2 * FIT_ROWS else max(1, (1 << 31) * FIT_ROWS // n)
+        at = F.xxhash64("rep", "key")
+        picked = own.where(F.pmod(at, F.lit(1 << 30)) < share).orderBy(at, "raw").limit(FIT_ROWS).select("raw").collect()
         tiling = Tiling(units([bytes(r["raw"]) for r in picked], dim), n, tile_rows)
         del picked
         parts.append(_dimension_links(own, tiling, dim, threshold, tile_rows))

@@ -28,12 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import text_bytes
+from eventlens.llm.shared import WordMemo, text_bytes
 
 WINDOW = 2048
 SEPARATOR = 1
 MAX_OPEN = 1024
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 ID_BYTES = 4
 #: ASCII marks that form a pre-token of their own after a letter or digit.
 TAIL_MARKS = b".,!?;:)%$&*#"
@@ -55,39 +55,23 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._cache: dict[bytes, bytes] = {}
-        self._limit = cache_words
+        self._bare = WordMemo(self._plain, cache_words)
+        self._words = WordMemo(self._word, cache_words)
 
     def _plain(self, text: bytes) -> bytes:
         ids = self._tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        cache = self._cache
-        if len(cache) >= self._limit:
-            cache.clear()
         base = word.rstrip(TAIL_MARKS)
-        last = base[-1:]
-        if len(base) < len(word) and last.isalnum():
-            tail = word[len(base):]
-            for part in (base, tail):
-                if part not in cache:
-                    cache[part] = self._plain(part)
-            ids = cache[base] + cache[tail]
-        else:
-            ids = self._plain(word)
-        if len(word) <= 64:
-            cache[word] = ids
-        return ids
+        if len(base) < len(word) and base[-1:].isalnum():
+            return self._bare.one(base) + self._bare.one(word[len(base):])
+        return self._plain(word)
 
     def encode(self, text: bytes) -> bytes:
         if b"<|" in text:
             return self._plain(text)
-        get, out = self._cache.get, []
-        for word in text.lower().split():
-            ids = get(word)
-            out.append(self._word(word) if ids is None else ids)
-        return b"".join(out)
+        return b"".join(self._words.all(text.lower().split()))
 
 
 class SumOfSquares:

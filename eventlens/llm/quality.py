@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from eventlens.llm.shared import text_bytes, widened
+from eventlens.llm.shared import sampled_ids, text_bytes, widened
 
 MAX_ROWS = 6000
 MIN_MASS = 0.1
@@ -148,12 +148,10 @@ def with_features(docs: DataFrame, text_col: str = "text", out: str = "features"
     return kept.mapInArrow(run, widened(kept.drop(text_col).schema, (out, ArrayType(FloatType()))))
 
 
-def _sample(rows: DataFrame, id_col: str, text_col: str, salt: str, limit: int) -> np.ndarray:
-    picked = (
-        rows.select(text_col, F.xxhash64(F.col(id_col), F.lit(salt)).alias("at"))
-        .orderBy("at", text_col).limit(limit)
-    )
-    found = sorted(tuple(r["features"]) for r in with_features(picked, text_col).collect())
+def _sample(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, salt: str, limit: int) -> np.ndarray:
+    """Features of at most ``limit`` documents whose ids are in ``rows``."""
+    picked = docs.join(F.broadcast(sampled_ids(rows, id_col, salt, limit)), id_col).dropDuplicates([id_col])
+    found = sorted(tuple(r["features"]) for r in with_features(picked.select(text_col), text_col).collect())
     mixed = np.random.default_rng(5).permutation(len(found))
     return np.array(found, dtype=np.float32)[mixed] if found else np.zeros((0, len(MARKS) + 22), np.float32)
 
@@ -164,8 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     is not 0, and of these only the positives."""
     trusted = labels.where((F.col(label) == 1) & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
     texts = docs.select(id_col, text_col)
-    positive = _sample(texts.join(trusted.select(id_col), id_col, "left_semi"), id_col, text_col, "p", limit)
-    unlabelled = _sample(texts, id_col, text_col, "u", limit)
+    positive = _sample(trusted, texts, id_col, text_col, "p", limit)
+    unlabelled = _sample(texts, texts, id_col, text_col, "u", limit)
     if len(positive) < 2 or len(unlabelled) < 2:
         return None
     prior = estimate_prior(positive, unlabelled) if prior is None else prior

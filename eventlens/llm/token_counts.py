@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import widened
+from eventlens.llm.shared import WordMemo, widened
 
 MARK = "▁"
 UNKNOWN = "<unk>"
 UNK_PENALTY = 10.0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 _WORD = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -76,8 +76,7 @@ class PieceCounter:
         inner = any(MARK in p.lstrip(MARK) for p in scores)
         lines = not any("\n" in p for p in scores)
         self._by_word = exact and not inner and lines and MARK in scores and self._bytes
-        self._cache: dict[str, tuple[int, float]] = {}
-        self._limit = cache_words
+        self._words = WordMemo(lambda w: self._best(w.replace(" ", MARK)), cache_words)
 
     def _best(self, text: str) -> tuple[int, float]:
         """Pieces and score of the best path over ``text`` (already marked)."""
@@ -109,18 +108,9 @@ class PieceCounter:
             return 0, 0.0
         if not self._by_word:
             return self._best(MARK + text.replace(" ", MARK))
-        pieces, total, get = 0, 0.0, self._cache.get
-        for word in _WORD.findall(" " + text if MARK not in text else " " + text.replace(MARK, " ")):
-            found = get(word)
-            if found is None:
-                if len(self._cache) >= self._limit:
-                    self._cache.clear()
-                found = self._best(word.replace(" ", MARK))
-                if len(word) <= 64:
-                    self._cache[word] = found
-            pieces += found[0]
-            total += found[1]
-        return pieces, total
+        # a mark written in the text is a mark like a blank's
+        found = self._words.all(_WORD.findall(" " + text.replace(MARK, " ")))
+        return sum(f[0] for f in found), sum(f[1] for f in found)
 
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
