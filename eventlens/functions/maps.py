@@ -8,27 +8,36 @@ from __future__ import annotations
 
 # --- fixed values: must equal the reference's lookup tables -----------------
 # Country code -> world region (82 codes).  Anything else (and NULL) is "Other".
-REGION_COUNTRIES = {
-    "North America": ["US", "CA", "MX", "GT", "HN", "NI", "CR", "PA", "CU"],
-    "South America": ["BR", "AR", "CO", "PE", "CL", "VE", "EC", "BO", "PY", "UY",
-                      "GY", "SR"],
-    "Europe": ["GB", "DE", "FR", "IT", "ES", "PT", "NL", "BE", "PL", "SE", "NO", "FI",
-               "DK", "IE", "AT", "CH", "GR", "RO", "CZ", "HU", "UA", "RU"],
-    "Asia": ["CN", "JP", "KR", "IN", "PK", "BD", "ID", "PH", "VN", "TH", "MY", "SG",
-             "TW", "AF", "IR", "IQ", "SA", "AE", "IL", "TR"],
-    "Africa": ["EG", "NG", "ZA", "KE", "ET", "GH", "TZ", "UG", "DZ", "MA", "TN", "LY",
-               "SD", "CM", "CI", "SN"],
-    "Oceania": ["AU", "NZ", "FJ"],
+REGION_BY_COUNTRY = {
+    "US": "North America", "CA": "North America", "MX": "North America", "GT": "North America",
+    "HN": "North America", "NI": "North America", "CR": "North America", "PA": "North America",
+    "CU": "North America",
+    "BR": "South America", "AR": "South America", "CO": "South America", "PE": "South America",
+    "CL": "South America", "VE": "South America", "EC": "South America", "BO": "South America",
+    "PY": "South America", "UY": "South America", "GY": "South America", "SR": "South America",
+    "GB": "Europe", "DE": "Europe", "FR": "Europe", "IT": "Europe", "ES": "Europe", "PT": "Europe",
+    "NL": "Europe", "BE": "Europe", "PL": "Europe", "SE": "Europe", "NO": "Europe", "FI": "Europe",
+    "DK": "Europe", "IE": "Europe", "AT": "Europe", "CH": "Europe", "GR": "Europe", "RO": "Europe",
+    "CZ": "Europe", "HU": "Europe", "UA": "Europe", "RU": "Europe",
+    "CN": "Asia", "JP": "Asia", "KR": "Asia", "IN": "Asia", "PK": "Asia", "BD": "Asia",
+    "ID": "Asia", "PH": "Asia", "VN": "Asia", "TH": "Asia", "MY": "Asia", "SG": "Asia",
+    "TW": "Asia", "AF": "Asia", "IR": "Asia", "IQ": "Asia", "SA": "Asia", "AE": "Asia",
+    "IL": "Asia", "TR": "Asia",
+    "EG": "Africa", "NG": "Africa", "ZA": "Africa", "KE": "Africa", "ET": "Africa", "GH": "Africa",
+    "TZ": "Africa", "UG": "Africa", "DZ": "Africa", "MA": "Africa", "TN": "Africa", "LY": "Africa",
+    "SD": "Africa", "CM": "Africa", "CI": "Africa", "SN": "Africa",
+    "AU": "Oceania", "NZ": "Oceania", "FJ": "Oceania",
 }
 
 # Country code -> continent (23 codes).
-CONTINENT_COUNTRIES = {
-    "North America": ["US", "CA", "MX"],
-    "South America": ["BR", "AR", "CO"],
-    "Europe": ["GB", "DE", "FR", "IT", "ES", "RU", "UA"],
-    "Asia": ["CN", "JP", "IN", "KR"],
-    "Africa": ["EG", "NG", "ZA", "KE"],
-    "Oceania": ["AU", "NZ"],
+CONTINENT_BY_COUNTRY = {
+    "US": "North America", "CA": "North America", "MX": "North America",
+    "BR": "South America", "AR": "South America", "CO": "South America",
+    "GB": "Europe", "DE": "Europe", "FR": "Europe", "IT": "Europe", "ES": "Europe", "RU": "Europe",
+    "UA": "Europe",
+    "CN": "Asia", "JP": "Asia", "IN": "Asia", "KR": "Asia",
+    "EG": "Africa", "NG": "Africa", "ZA": "Africa", "KE": "Africa",
+    "AU": "Oceania", "NZ": "Oceania",
 }
 
 # Three-letter actor type prefix -> label.
@@ -66,11 +75,3 @@ NA_TOKENS = [
 
 OTHER = "Other"
 
-
-def invert(groups: dict[str, list[str]]) -> dict[str, str]:
-    """``{label: [code, ...]}`` -> ``{code: label}``."""
-    return {code: label for label, codes in groups.items() for code in codes}
-
-
-REGION_BY_COUNTRY = invert(REGION_COUNTRIES)
-CONTINENT_BY_COUNTRY = invert(CONTINENT_COUNTRIES)

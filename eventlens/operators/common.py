@@ -97,3 +97,10 @@ def previous_count(calendar: bool) -> Column:
         return prev
     adjacent = hour_start("prev_hour") + F.expr("INTERVAL 1 HOUR") == hour_start("mention_hour")
     return F.when(adjacent, prev)
+
+
+def top_per_group(df: DataFrame, keys: list[str], size: str, tie: str, n: int) -> DataFrame:
+    """The ``n`` rows of largest ``size`` per group with their ``rank``; ties by
+    ``tie``.  Planned as WindowGroupLimit: a group ships ``n`` rows per task."""
+    order = Window.partitionBy(*keys).orderBy(F.desc(size), F.asc(tie))
+    return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)

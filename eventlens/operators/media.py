@@ -119,27 +119,37 @@ def source_diversity_index(
     not dominated by one key.  Duplicate event rows still multiply, as an
     inner join does.
 
-    The distinct counts are exact by default (Spark plans them with an
-    ``Expand`` whose shuffle keys include the counted value).  With
-    ``approximate`` they are HyperLogLog++ sketches (relative standard
-    deviation ``rsd``), which merge map-side and need no extra shuffle.
+    The distinct counts are exact by default.  After the join the rows lie by
+    event, so the first row of each (event, country) is marked without another
+    exchange; counts per (country, source) and then per country follow, whose
+    shuffles have the size countries x sources, not events.  With
+    ``approximate`` the counts are HyperLogLog++ sketches (relative standard
+    deviation ``rsd``), which merge map-side.
     """
-    distinct = (
-        (lambda c: F.approx_count_distinct(c, rsd)) if approximate else F.count_distinct
-    )
     per_source = mentions.groupBy("GLOBALEVENTID", "MentionSourceName").agg(
         F.count(F.lit(1)).alias("n_mentions")
     )
     event_country = events.select("GLOBALEVENTID", F.col(COUNTRY).alias("country_code")).filter(
         F.col("country_code").isNotNull()
     )
-    return (
-        per_source.join(event_country, "GLOBALEVENTID")
-        .groupBy("country_code")
-        .agg(
-            distinct("MentionSourceName").alias("unique_sources"),
+    joined = per_source.join(event_country, "GLOBALEVENTID")
+    if approximate:
+        measures = joined.groupBy("country_code").agg(
+            F.approx_count_distinct("MentionSourceName", rsd).alias("unique_sources"),
             F.sum("n_mentions").alias("total_mentions"),
-            distinct("GLOBALEVENTID").alias("unique_events"),
+            F.approx_count_distinct("GLOBALEVENTID", rsd).alias("unique_events"),
         )
-        .withColumn("diversity_index", F.col("unique_sources") / F.col("unique_events"))
-    )
+    else:
+        of_event = Window.partitionBy("GLOBALEVENTID", "country_code").orderBy("MentionSourceName")
+        measures = (
+            joined.withColumn("first", (F.row_number().over(of_event) == 1).cast("long"))
+            .groupBy("country_code", "MentionSourceName")
+            .agg(F.sum("n_mentions").alias("n"), F.sum("first").alias("n_first"))
+            .groupBy("country_code")
+            .agg(
+                F.count("MentionSourceName").alias("unique_sources"),
+                F.sum("n").alias("total_mentions"),
+                F.sum("n_first").alias("unique_events"),
+            )
+        )
+    return measures.withColumn("diversity_index", F.col("unique_sources") / F.col("unique_events"))

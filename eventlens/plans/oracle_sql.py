@@ -377,7 +377,8 @@ ORDER BY conflict_count DESC, pair LIMIT 10"""),
     "view_class_by_region": (("quadclass_timeline",), f"""
 SELECT region,
        {", ".join(f"cast(coalesce(sum(CASE WHEN QuadClass = {q} THEN event_count END), 0) AS BIGINT) AS quad_{q}"
-                  for q in (1, 2, 3, 4))}
+                  for q in (1, 2, 3, 4))},
+       cast(coalesce(sum(CASE WHEN QuadClass IS NULL THEN event_count END), 0) AS BIGINT) AS quad_null
 FROM quadclass_timeline WHERE region IN {_first("quadclass_timeline", "region", 5)}
 GROUP BY region"""),
     "view_code_by_region": (("cameo_by_region",), f"""
@@ -387,10 +388,10 @@ FROM (SELECT r.region, c.EventBaseCode
       CROSS JOIN (SELECT EventBaseCode FROM (
                     SELECT EventBaseCode, sum(event_count) AS total FROM cameo_by_region
                     WHERE region IN {_REGIONS5_CAMEO} GROUP BY 1)
-                  ORDER BY total DESC, EventBaseCode LIMIT 8) c) g
+                  ORDER BY total DESC, EventBaseCode ASC NULLS FIRST LIMIT 8) c) g
 LEFT JOIN (SELECT region, EventBaseCode, sum(event_count) AS event_count
            FROM cameo_by_region GROUP BY 1, 2) s
-  ON g.region = s.region AND g.EventBaseCode = s.EventBaseCode"""),
+  ON g.region = s.region AND g.EventBaseCode IS NOT DISTINCT FROM s.EventBaseCode"""),
     "view_tone_series": (("sentiment_trend",), f"""
 SELECT country_code, day_index, strftime(event_date, '%Y-%m-%d') AS event_date, tone_value FROM (
  SELECT country_code, event_date, coalesce(moving_avg_7d, daily_avg_tone) AS tone_value,
@@ -413,7 +414,7 @@ ORDER BY r DESC, country_code LIMIT 10"""),
 SELECT ethnicity, conflict_count FROM ethnic_conflict_frequency
 ORDER BY conflict_count DESC, ethnicity LIMIT 10"""),
     "view_top_coverage": (("media_coverage",), """
-SELECT country_code, round(r, 2) + 0.0 AS mentions_per_event FROM (
+SELECT country_code, round(coalesce(r, 0.0), 2) + 0.0 AS mentions_per_event FROM (
  SELECT country_code, mentions_per_event_ratio AS r FROM media_coverage
  ORDER BY r DESC NULLS LAST, country_code LIMIT 10)"""),
     "view_top_diversity": (("source_diversity_index",), """

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventlens.operators import ANALYSES
 from eventlens.operators.common import daily_measures, hourly_mentions
-from eventlens.session import scratch_path
+from eventlens.session import remove_path, scratch_path
 from eventlens.sources.sinks import RUN_RECORD, read_result, run_record, write_result
 from eventlens.sources.slots import retain_since
 from eventlens.sources.tables import load_table
@@ -108,7 +108,8 @@ def run_all(
             df = df.select(*INPUT_COLUMNS.get(name, df.columns)).persist()
         inputs[name] = df
 
-    shared = _shared_bases(spark, inputs) if share_bases else {}
+    staging: list[str] = []
+    shared = _shared_bases(spark, inputs, _wanted_bases(analyses, params), staging) if share_bases else {}
 
     statuses = []
     try:
@@ -125,19 +126,21 @@ def run_all(
                 accepted = inspect.signature(fn).parameters
                 if "stage_dir" in accepted and "stage_dir" not in kwargs:
                     kwargs["stage_dir"] = scratch_path(spark, f"stage-{name}")
+                    staging.append(kwargs["stage_dir"])
                 for base_name, base in shared.items():
-                    if base_name in accepted and base_name not in kwargs:
+                    if _takes_base(base_name, accepted, kwargs):
                         kwargs[base_name] = base
                 result = clustered(name, fn(*[inputs[t] for t in required], **kwargs))
                 if write_empty:
                     write_result(result, out_root, name, fmt)
                     rows = read_result(spark, out_root, name, fmt).count()
                 else:
-                    # Keep the previous result when the new one is empty.
-                    rows = result.limit(1).count()
+                    # Keep the previous result when the new one is empty: run
+                    # the plan once, into staging, and copy a non-empty result.
+                    result = _stage(spark, result, f"result-{name}", staging)
+                    rows = result.count()
                     if rows:
                         write_result(result, out_root, name, fmt)
-                        rows = read_result(spark, out_root, name, fmt).count()
                 status.update(status="ok" if rows else "empty", rows=rows)
             except Exception as exc:  # isolate: one failure leaves the others
                 log.error("analysis %s failed: %s", name, exc)
@@ -148,26 +151,50 @@ def run_all(
         for df in inputs.values():
             if df is not None and persist_inputs:
                 df.unpersist()
+        for path in staging:
+            try:
+                remove_path(spark, path)
+            except Exception as exc:
+                log.warning("staging folder %s not removed: %s", path, exc)
 
     write_result(run_record(spark, statuses, dt.datetime.now(dt.timezone.utc)), out_root, RUN_RECORD, fmt)
     return statuses
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _stage(spark: SparkSession, df: DataFrame, name: str, staging: list[str]) -> DataFrame:
     path = scratch_path(spark, f"base-{name}")
+    staging.append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+# Parameters a base is built with; an analysis called with its own value of one
+# must not be handed the base.
+BASE_PARAMETERS = {"daily": {"quad"}, "hourly": set()}
+
+
+def _takes_base(base: str, accepted: Mapping, kwargs: Mapping) -> bool:
+    return base in accepted and base not in kwargs and not BASE_PARAMETERS[base] & set(kwargs)
+
+
+def _wanted_bases(analyses: Sequence, params: Mapping[str, dict]) -> set[str]:
+    """The bases that a chosen analysis will be handed."""
+    return {
+        base for name, fn, _ in analyses for base in BASE_PARAMETERS
+        if _takes_base(base, inspect.signature(fn).parameters, params.get(name, {}))
+    }
 
 
-def _shared_bases(spark: SparkSession, inputs: Mapping[str, DataFrame | None]) -> dict[str, DataFrame]:
-    """Stage the shared bases; a base that fails to build is left to each analysis."""
+def _shared_bases(spark: SparkSession, inputs: Mapping[str, DataFrame | None], wanted: set[str],
+                  staging: list[str]) -> dict[str, DataFrame]:
+    """Stage the wanted bases; a base that fails to build is left to each analysis."""
     builders = {"daily": ("events", daily_measures), "hourly": ("mentions", hourly_mentions)}
     shared = {}
     for name, (table, build) in builders.items():
-        if inputs.get(table) is None:
+        if inputs.get(table) is None or name not in wanted:
             continue
         try:
-            shared[name] = _stage(spark, build(inputs[table]), name)
+            shared[name] = _stage(spark, build(inputs[table]), name, staging)
         except Exception as exc:
             log.warning("shared base %s not staged: %s", name, exc)
     return shared

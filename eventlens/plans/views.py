@@ -94,17 +94,18 @@ def _first_values(df: DataFrame, column: str, n: int) -> DataFrame:
 
 def class_by_region(timeline: DataFrame, regions: int = 5, classes=(1, 2, 3, 4)) -> DataFrame:
     """V6: events by region (first ``regions`` by name) and QuadClass, summed
-    over all days; one column per class, missing -> 0."""
+    over all days; one column per class, missing -> 0; ``quad_null`` holds the
+    events without a class."""
     chosen = F.broadcast(_first_values(timeline, "region", regions))
     wide = (
         timeline.join(chosen, "region", "left_semi")
         .groupBy("region")
-        .pivot("QuadClass", list(classes))
-        .agg(F.sum("event_count"))
-    )
-    return wide.select(
-        "region", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"quad_{c}") for c in classes]
+        .agg(
+            *[F.sum(F.when(F.col("QuadClass") == c, F.col("event_count"))).alias(f"quad_{c}") for c in classes],
+            F.sum(F.when(F.col("QuadClass").isNull(), F.col("event_count"))).alias("quad_null"),
+        )
     )
+    return wide.fillna(0, subset=[*(f"quad_{c}" for c in classes), "quad_null"])
 
 
 def code_by_region(cameo: DataFrame, regions: int = 5, codes: int = 8) -> DataFrame:
@@ -114,16 +115,20 @@ def code_by_region(cameo: DataFrame, regions: int = 5, codes: int = 8) -> DataFr
     sub = cameo.join(chosen, "region", "left_semi")
     top = (
         sub.groupBy("EventBaseCode").agg(F.sum("event_count").alias("_total"))
-        .orderBy(F.desc("_total"), "EventBaseCode")
+        .orderBy(F.desc("_total"), F.asc_nulls_first("EventBaseCode"))
         .limit(codes)
     )
     ranked = F.broadcast(
-        top.withColumn("code_rank", F.row_number().over(Window.orderBy(F.desc("_total"), "EventBaseCode")))
+        top.withColumn("code_rank", F.row_number().over(
+            Window.orderBy(F.desc("_total"), F.asc_nulls_first("EventBaseCode"))))
         .drop("_total")
     )
     ranks = [str(i) for i in range(1, codes + 1)]
     wide = (
-        sub.join(ranked, "EventBaseCode", "left")
+        sub.join(
+            ranked.withColumnRenamed("EventBaseCode", "_code"),
+            F.col("EventBaseCode").eqNullSafe(F.col("_code")), "left",
+        )
         .groupBy("region")
         .pivot("code_rank", list(range(1, codes + 1)))
         .agg(F.sum("event_count"))
@@ -188,7 +193,10 @@ def top_coverage(coverage: DataFrame, n: int = 10, digits: int = 2) -> DataFrame
     return (
         coverage.orderBy(F.desc_nulls_last("mentions_per_event_ratio"), "country_code")
         .limit(n)
-        .select("country_code", F.round("mentions_per_event_ratio", digits).alias("mentions_per_event"))
+        .select(
+            "country_code",
+            F.round(F.coalesce("mentions_per_event_ratio", F.lit(0.0)), digits).alias("mentions_per_event"),
+        )
     )
 
 

@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Generated methods above this size (bytes of bytecode) are never compiled
+    # by the JVM; such stages then run through smaller generated functions.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -51,23 +54,46 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured ``spark.checkpoint.dir``; only when none is set
-    (local tests) create one under the system temp folder."""
+    """Use the configured ``spark.checkpoint.dir``; only in local mode, when
+    none is set (tests), create one under the system temp folder."""
     found = checkpoint_dir(spark)
     if found:
         return found
+    if not is_local(spark):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="eventlens-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:  # Spark Connect: no context; the folder is still usable locally
-        pass
+    spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def stream_checkpoint_root(spark: SparkSession) -> str:
+    """Where stream checkpoints may live: the configured folder, which stays the
+    same from run to run; in local mode without one, the session's own."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    if not is_local(spark):
+        raise ValueError("name a stream checkpoint folder, or set spark.checkpoint.dir")
+    return ensure_checkpoint_dir(spark).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location, for data a job
     writes and reads back (never a machine-local temp folder on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/eventlens/{name}-{uuid.uuid4().hex[:12]}"
 
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the Hadoop file system."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+

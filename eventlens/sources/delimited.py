@@ -22,6 +22,9 @@ from eventlens.schemas import TABLE_COLUMNS, column_type
 
 SLOT_PATTERN = r"(\d{14})"
 
+# What counts as a number; Spark's own cast also takes Java forms such as 12d.
+NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
 
 def _valid_text(c: Column) -> Column:
     # Invalid UTF-8 bytes become U+FFFD (row kept), like a lenient decode.
@@ -39,11 +42,11 @@ def coerce(c: Column, data_type: T.DataType) -> Column:
     ("12.0"); a fractional value there is NULL rather than silently cut.
     """
     if isinstance(data_type, T.LongType):
-        as_double = c.try_cast("double")
+        as_double = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
         whole = F.when(as_double == F.round(as_double, 0), as_double.try_cast("bigint"))
         return F.coalesce(c.try_cast("bigint"), whole)
     if isinstance(data_type, T.DoubleType):
-        return c.try_cast("double")
+        return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
     return c
 
 
@@ -99,10 +102,12 @@ def read_delimited(spark: SparkSession, paths: str | list[str], table: str, glob
 
 def slot_report(lines: DataFrame, table: str, value: str = "value") -> DataFrame:
     """Per slot: lines accepted and lines rejected for having too many fields
-    (the ingest metric), in one aggregation over the landed lines."""
+    (the ingest metric), in one aggregation over the landed lines.  Lines of
+    files without a slot stamp (``ts`` NULL) are all rejected: they cannot be
+    loaded."""
     width = len(TABLE_COLUMNS[table])
-    n = F.size("_fields")
+    fits = (F.size("_fields") <= width) & F.col("ts").isNotNull()
     return split_fields(lines, value).groupBy("ts").agg(
-        F.count_if(n <= width).alias("accepted"),
-        F.count_if(n > width).alias("rejected"),
+        F.count_if(fits).alias("accepted"),
+        F.count_if(~fits).alias("rejected"),
     )

@@ -7,9 +7,10 @@ Text files are read by Spark directly; zip archives go through ``archive``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlens.sources.archive import read_zip_lines
-from eventlens.sources.delimited import parse_lines, read_lines
+from eventlens.sources.archive import read_zip_lines, unreadable_archives
+from eventlens.sources.delimited import parse_lines, read_lines, with_slot
 from eventlens.sources.tables import write_slots
 
 # --- fixed values: file name suffixes of the three feeds ---
@@ -34,13 +35,37 @@ def landed_lines(spark: SparkSession, landing: str, table: str, archives: bool =
 
 
 def landed_rows(spark: SparkSession, landing: str, table: str, archives: bool = False) -> DataFrame:
-    """Typed rows of all landed files of one feed, with ``ts`` from the file name."""
-    return parse_lines(landed_lines(spark, landing, table, archives), table, keep=("ts",))
+    """Typed rows of all landed files of one feed, with ``ts`` from the file name
+    and ``source_file``."""
+    return parse_lines(landed_lines(spark, landing, table, archives), table, keep=("ts", "source_file"))
+
+
+def landing_problems(spark: SparkSession, landing: str, table: str, archives: bool = False) -> DataFrame:
+    """``source_file, problem``: landed files that cannot be loaded because
+    their name has no slot stamp or their archive is unreadable."""
+    suffix = FEED_SUFFIXES[table]
+    glob = f"*{suffix}.zip" if archives else f"*{suffix}{TEXT_EXTENSIONS}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing)
+    unstamped = (
+        with_slot(files.select(F.col("path").alias("source_file"))).where("ts IS NULL")
+        .select("source_file", F.lit("no slot stamp").alias("problem"))
+    )
+    return unstamped.unionByName(unreadable_archives(files)) if archives else unstamped
 
 
 def ingest_batch(
-    spark: SparkSession, landing: str, table_root: str, table: str, archives: bool = False
+    spark: SparkSession, landing: str, table_root: str, table: str, archives: bool = False,
+    strict: bool = False, slots: DataFrame | None = None,
 ) -> None:
-    """Load every landed file of ``table``; each slot found replaces its partition."""
-    rows = landed_rows(spark, landing, table, archives)
-    write_slots(rows.filter("ts IS NOT NULL"), table_root, table)
+    """Load every landed file of ``table``; each file replaces its own part of
+    its slot.  Files that cannot be loaded are listed by ``landing_problems``;
+    with ``strict`` any such file fails the load before anything is written.
+    ``slots`` (column ``ts``) limits the load to those slots."""
+    if strict:
+        found = landing_problems(spark, landing, table, archives).limit(20).collect()
+        if found:
+            raise ValueError("files that cannot be loaded: " + "; ".join(f"{r[0]}: {r[1]}" for r in found))
+    rows = landed_rows(spark, landing, table, archives).filter("ts IS NOT NULL")
+    if slots is not None:
+        rows = rows.join(slots.select("ts").distinct(), "ts", "left_semi")
+    write_slots(rows, table_root, table)

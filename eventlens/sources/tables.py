@@ -1,9 +1,10 @@
 """S4 + S8: slot-partitioned feed tables.
 
 A feed table is a Parquet directory partitioned by ``ts`` (the 14-digit slot
-stamp).  Writes use dynamic partition overwrite, so re-ingesting a slot
-replaces exactly that slot and nothing else: a re-delivered file never
-duplicates rows, and a failed-then-retried write converges to one copy.
+stamp) and ``load_file`` (the name of the landed file).  Writes use dynamic
+partition overwrite, so the unit of replacement is the file: a re-delivered
+file never duplicates rows, a second file of a slot adds to it whenever it
+arrives, and a failed-then-retried write converges to one copy.
 """
 
 from __future__ import annotations
@@ -24,14 +25,22 @@ def with_load_columns(rows: DataFrame) -> DataFrame:
 
 
 def write_slots(rows: DataFrame, table_root: str, table: str) -> None:
-    """Write typed rows (with ``ts``) as the slots of one feed table."""
-    cols = TABLE_COLUMNS[table] + ["load_timestamp", "ts"]
+    """Write typed rows (with ``ts``) as the slots of one feed table.
+
+    ``source_file`` (the landed file's path), where present, names the part of
+    the slot that is replaced; without it the rows are the slot's one part."""
+    cols = TABLE_COLUMNS[table] + ["load_timestamp", "ts", "load_file"]
+    if "source_file" in rows.columns:
+        name = F.regexp_extract("source_file", r"([^/]+)/*$", 1)
+    else:
+        name = F.lit("slot")
     (
         with_load_columns(rows)
+        .withColumn("load_file", name)
         .select(*cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ts")
+        .partitionBy("ts", "load_file")
         .parquet(f"{table_root.rstrip('/')}/{table}")
     )
 
@@ -60,4 +69,5 @@ def load_table(spark: SparkSession, table_root: str, table: str) -> DataFrame |
     if not path_exists(spark, path):
         log.warning("no data at %s", path)
         return None
-    return spark.read.schema(table_schema(table)).parquet(path)
+    schema = table_schema(table)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

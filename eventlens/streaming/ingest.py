@@ -5,8 +5,9 @@ stream's checkpoint (in the shared checkpoint folder) replaces a list of
 loaded files, so a re-run adds nothing and a newly landed file is picked up.
 Tables are independent: a table that lands late for a slot is still loaded.
 
-Each micro-batch is written with dynamic partition overwrite (``foreachBatch``),
-which makes a replayed batch idempotent after a failure.
+Each micro-batch is written with dynamic partition overwrite (``foreachBatch``)
+per slot and landed file, so a replayed batch is idempotent after a failure and
+a later file of a slot adds to it.
 """
 
 from __future__ import annotations
@@ -17,13 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlens.session import ensure_checkpoint_dir
+from eventlens.session import stream_checkpoint_root
 from eventlens.sources.archive import unzip_lines
 from eventlens.sources.delimited import parse_lines, with_slot
 from eventlens.sources.ingest import FEED_SUFFIXES, TEXT_EXTENSIONS
 from eventlens.sources.tables import write_slots
 
 
+# Files older than this against the newest one seen are ignored by the file
+# source, whose own default (7 days) would lose a backfill that keeps file times.
+MAX_FILE_AGE = "36500d"
+
 # The fixed schema of the binaryFile source (a stream must be given one).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -35,6 +40,7 @@ def stream_rows(
     max_files: int | None = None,
     glob: str | None = None,
     archives: bool = False,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Streaming DataFrame of typed rows of one feed, with ``ts``.
 
@@ -44,7 +50,7 @@ def stream_rows(
     suffix = FEED_SUFFIXES[table] + (".zip" if archives else TEXT_EXTENSIONS)
     reader = spark.readStream.format("binaryFile" if archives else "text").option(
         "pathGlobFilter", glob or f"*{suffix}"
-    )
+    ).option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if archives:
@@ -53,7 +59,7 @@ def stream_rows(
         lines = reader.load(landing).select(
             "value", F.col("_metadata.file_path").alias("source_file")
         )
-    return parse_lines(with_slot(lines), table, keep=("ts",)).filter("ts IS NOT NULL")
+    return parse_lines(with_slot(lines), table, keep=("ts", "source_file")).filter("ts IS NOT NULL")
 
 
 def start_ingest(
@@ -66,6 +72,7 @@ def start_ingest(
     max_files: int | None = None,
     glob: str | None = None,
     archives: bool = False,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> StreamingQuery:
     """Start the incremental load of one table.  With ``available_now`` the
     query processes what has landed and stops (batch-like scheduling)."""
@@ -73,14 +80,14 @@ def start_ingest(
         # One checkpoint per (landing, target, table): a stream's record of seen
         # files must never be shared with another source folder.
         tag = hashlib.sha1(f"{landing}|{table_root}|{archives}".encode()).hexdigest()[:12]
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens/ingest/{table}-{tag}"
+        checkpoint = f"{stream_checkpoint_root(spark)}/eventlens/ingest/{table}-{tag}"
     location = checkpoint
 
     def write(batch: DataFrame, _epoch: int) -> None:
         write_slots(batch, table_root, table)
 
     writer = (
-        stream_rows(spark, landing, table, max_files, glob, archives)
+        stream_rows(spark, landing, table, max_files, glob, archives, max_file_age)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", location)
         .queryName(f"ingest_{table}")
