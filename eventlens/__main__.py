@@ -12,12 +12,17 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
 TABLES = ("events", "mentions", "gkg")
 
 
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="eventlens")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -29,6 +34,10 @@ def main(argv: list[str] | None = None) -> int:
     ingest.add_argument("--archives", action="store_true", help="landed files are .zip")
     ingest.add_argument("--stream", action="store_true", help="incremental (checkpointed) load")
     ingest.add_argument("--checkpoint", help="stream checkpoint root (default: spark.checkpoint.dir)")
+    ingest.add_argument("--strict", action="store_true",
+                        help="fail before writing if a landed file cannot be loaded")
+    ingest.add_argument("--last-slots", type=int, help="load only the last n slots due before --now")
+    ingest.add_argument("--now", default=None, help="reference time for --last-slots (UTC, default: now)")
     ingest.add_argument("--report", action="store_true",
                         help="print accepted / rejected line counts per table and slot")
 
@@ -76,9 +85,12 @@ def main(argv: list[str] | None = None) -> int:
                              checkpoint_root=args.checkpoint, archives=args.archives)
         else:
             from eventlens.sources.ingest import ingest_batch
+            from eventlens.sources.slots import due_slots
 
             for table in tables:
-                ingest_batch(spark, args.landing, args.tables, table, archives=args.archives)
+                ingest_batch(spark, args.landing, args.tables, table, archives=args.archives,
+                             strict=args.strict, slots=due_slots(spark, args.now or utc_now(), args.last_slots)
+                             if args.last_slots else None)
         if args.report:
             from eventlens.sources.ingest import landed_lines
             from eventlens.sources.delimited import slot_report

@@ -5,9 +5,12 @@
   columns empty), then read back through the delimited scan, typed coercion,
   the slot-partitioned write and ``load_table``.  The result must equal the
   projection itself, with ``ts`` = the slot stamp.
-* ``ingest_stream_events``: the same landing files through the streaming
+* ``ingest_stream_<table>``: the same landing files through the streaming
   (available-now) load.
-* ``due_slots``: gap report of 15-minute slots of the events' DATEADDED.
+* ``ingest_archive_events``: the landing lines as zip archives, unpacked and loaded.
+* ``missing_slots``: gap report of 15-minute slots of the events' DATEADDED;
+  ``due_slots``: the last slots before the newest loaded one that are not loaded.
+* ``run_record``: the record the runner writes.
 * ``retain_since``: retention filter over event slot stamps.
 * ``run_all_summary``: the runner writes all nineteen result tables; the
   summary view then counts the written tables (R2, S9, V2 end to end).
@@ -17,19 +20,27 @@ Landing and table folders go under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.plans import fixtures
 from eventlens.schemas import TABLE_COLUMNS
 from eventlens.session import scratch_path
-from eventlens.sources.delimited import parse_lines, read_lines
-from eventlens.sources.slots import missing_slots, retain_since
+from eventlens.sources.archive import unzip_lines
+from eventlens.sources.delimited import parse_lines, read_lines, with_slot
+from eventlens.sources.slots import due_before_newest, missing_slots, retain_since
 from eventlens.sources.tables import load_table, write_slots
 from eventlens.streaming.ingest import start_ingest
 
 RETAIN_NOW = "2024-01-30 00:00:00"
 RETAIN_HOURS = 72
+DUE_SLOTS = 96
 
 
 def slot_of(table: str) -> Column:
@@ -77,20 +88,49 @@ def ingest_roundtrip(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return load_table(spark, tables, table).select(*_projected_columns(table), "ts")
 
 
-def ingest_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "ingest-stream-events")
+def ingest_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    base = scratch_path(spark, f"ingest-stream-{table}")
     landing, tables = f"{base}/landing", f"{base}/tables"
-    land_projection(spark, sf_dir, "events", landing)
+    land_projection(spark, sf_dir, table, landing)
     query = start_ingest(
-        spark, landing, tables, "events", checkpoint=f"{base}/checkpoint", glob="part-*"
+        spark, landing, tables, table, checkpoint=f"{base}/checkpoint", glob="part-*"
     )
     query.awaitTermination()
+    return load_table(spark, tables, table).select(*_projected_columns(table), "ts")
+
+
+def _zip_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of a batch as one zip archive per slot, as the feed delivers them."""
+    part = TaskContext.get().partitionId()
+    for k, batch in enumerate(batches):
+        files = []
+        for slot, lines in batch.groupby("slot")["value"]:
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as zf:
+                zf.writestr(f"{slot}.export.CSV", "\n".join(lines) + "\n")
+            files.append((f"/landing/{slot}.{part}-{k}.export.CSV.zip", packed.getvalue()))
+        yield pd.DataFrame(files, columns=["path", "content"])
+
+
+def ingest_archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = f"{scratch_path(spark, 'ingest-archive-events')}/tables"
+    lines = to_lines(fixtures.project(spark, sf_dir, "events"), "events")
+    archives = lines.mapInPandas(_zip_files, "path string, content binary")
+    rows = parse_lines(with_slot(unzip_lines(archives)), "events", keep=("ts", "source_file"))
+    write_slots(rows, tables, "events")
     return load_table(spark, tables, "events").select(*_projected_columns("events"), "ts")
 
 
+def _event_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.project(spark, sf_dir, "events").select(slot_of("events").alias("ts"))
+
+
+def missing_slots_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_slots(_event_stamps(spark, sf_dir))
+
+
 def due_slots_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixtures.project(spark, sf_dir, "events")
-    return missing_slots(events.select(slot_of("events").alias("ts")))
+    return due_before_newest(_event_stamps(spark, sf_dir), DUE_SLOTS)
 
 
 def retain_since_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +158,29 @@ def run_all_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_summary({name: read_result(spark, out, name) for name in ANALYSIS_NAMES})
 
 
+def run_record_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of a run: analysis, status and rows as written."""
+    from eventlens.plans.oracle_sql import ANALYSIS_DATE
+    from eventlens.plans.runner import run_all
+    from eventlens.sources.sinks import RUN_RECORD, read_result
+
+    out = scratch_path(spark, "run-record")
+    run_all(
+        spark, fixtures.inputs(spark, sf_dir), out,
+        params={"tone_sources_correlation": {"as_of": ANALYSIS_DATE}},
+    )
+    return read_result(spark, out, RUN_RECORD).selectExpr("analysis", "status", "cast(rows as bigint) AS row_count")
+
+
 def all_queries() -> dict:
     out = {f"ingest_{t}": (lambda t: lambda spark, sf: ingest_roundtrip(spark, sf, t))(t)
            for t in ("events", "mentions", "gkg")}
-    out["ingest_stream_events"] = ingest_stream_events
+    for t in ("events", "mentions", "gkg"):
+        out[f"ingest_stream_{t}"] = (lambda t: lambda spark, sf: ingest_stream(spark, sf, t))(t)
+    out["ingest_archive_events"] = ingest_archive_events
+    out["missing_slots"] = missing_slots_query
     out["due_slots"] = due_slots_query
+    out["run_record"] = run_record_query
     out["retain_since"] = retain_since_query
     out["run_all_summary"] = run_all_summary
     return out

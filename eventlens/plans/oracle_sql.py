@@ -252,7 +252,20 @@ SELECT * REPLACE (cast(GKGRECORDID AS varchar) AS GKGRECORDID),
        substr(DATE, 1, 8) || '000000' AS ts
 FROM g_gkg"""
 
+_BODIES["ingest_archive_events"] = _BODIES["ingest_events"]
+_BODIES["ingest_stream_mentions"] = _BODIES["ingest_mentions"]
+_BODIES["ingest_stream_gkg"] = _BODIES["ingest_gkg"]
+
 _BODIES["due_slots"] = f"""
+obs AS (
+ SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, {_SLOT_TS}) AS t
+ FROM g_events WHERE {_SLOT_TS} IS NOT NULL),
+expected AS (
+ SELECT unnest(generate_series(hi - INTERVAL 15 MINUTE * 96, hi - INTERVAL 15 MINUTE, INTERVAL 15 MINUTE)) AS t
+ FROM (SELECT max(t) AS hi FROM obs))
+|SELECT strftime(t, '%Y%m%d%H%M%S') AS ts FROM expected WHERE t NOT IN (SELECT t FROM obs)"""
+
+_BODIES["missing_slots"] = f"""
 obs AS (
  SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, {_SLOT_TS}) AS t
  FROM g_events WHERE {_SLOT_TS} IS NOT NULL),
@@ -478,4 +491,9 @@ def all_view_sql() -> dict[str, str]:
     out = {name: view_sql(name) for name in VIEW_FINALS}
     # The runner's written tables, counted, equal the summary of the analyses.
     out["run_all_summary"] = out["view_result_summary"]
+    # The run record holds the same counts, one row per analysis.
+    out["run_record"] = (
+        "SELECT result AS analysis, CASE WHEN row_count > 0 THEN 'ok' ELSE 'empty' END AS status,"
+        f" cast(row_count AS BIGINT) AS row_count FROM ({out['view_result_summary']}) WHERE result <> 'total'"
+    )
     return out

@@ -77,16 +77,36 @@ def due_slots(spark: SparkSession, now: dt.datetime | str, n: int = 4) -> DataFr
     return slots.select(slot_stamp(F.col("slot")).alias("ts"))
 
 
-def missing_slots(loaded: DataFrame, stamp_col: str = "ts") -> DataFrame:
+def due_before_newest(loaded: DataFrame, n: int = 4, stamp_col: str = "ts") -> DataFrame:
+    """The last ``n`` slots before the newest loaded one that are not loaded."""
+    observed = (
+        loaded.select(slot_floor(slot_time(stamp_col)).alias("slot"))
+        .filter(F.col("slot").isNotNull()).distinct()
+    )
+    newest = observed.agg(F.max("slot").alias("newest")).filter(F.col("newest").isNotNull())
+    steps = newest.select("newest", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("step"))
+    expected = steps.select(
+        (F.col("newest") - F.make_dt_interval(mins=15 * F.col("step"))).alias("slot"))
+    return expected.join(observed, "slot", "left_anti").select(slot_stamp(F.col("slot")).alias("ts"))
+
+
+# Stamps outside are taken for damaged: they would stretch the gap report over
+# thousands of years.  The feeds' own history starts in 1979.
+PLAUSIBLE = ("1979-01-01 00:00:00", "2100-01-01 00:00:00")
+
+
+def missing_slots(loaded: DataFrame, stamp_col: str = "ts", plausible: tuple[str, str] = PLAUSIBLE) -> DataFrame:
     """Gap report: every slot between the first and last loaded slot that has no data.
 
+    Stamps outside ``plausible`` are left out (``implausible_stamps`` lists them).
+
     The expected slots are generated per calendar day (a few thousand rows for
     years of history, bounded by the time span, not by data volume), spread by
     day, and anti-joined against the distinct loaded slots.
     """
     observed = (
         loaded.select(slot_floor(slot_time(stamp_col)).alias("slot"))
-        .filter(F.col("slot").isNotNull())
+        .filter(F.col("slot").between(*map(_ts_literal, plausible)))
         .distinct()
     )
     bounds = observed.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
@@ -114,6 +134,13 @@ def missing_slots(loaded: DataFrame, stamp_col: str = "ts") -> DataFrame:
     return expected.join(observed, "slot", "left_anti").select(slot_stamp(F.col("slot")).alias("ts"))
 
 
+def implausible_stamps(loaded: DataFrame, stamp_col: str = "ts",
+                       plausible: tuple[str, str] = PLAUSIBLE) -> DataFrame:
+    """``ts, rows``: stamps that are no time or lie outside ``plausible``."""
+    inside = F.coalesce(slot_time(stamp_col).between(*map(_ts_literal, plausible)), F.lit(False))
+    return loaded.filter(~inside).groupBy(F.col(stamp_col).alias("ts")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def retain_since(df: DataFrame, now: dt.datetime | str, hours: float = 1, stamp_col: str = "ts") -> DataFrame:
     """Rows whose slot is not older than ``now - hours``.
 
