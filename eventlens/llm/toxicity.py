@@ -22,7 +22,7 @@ texts.
 Nulls: a null or empty text scores as a text without words, by the softmax
 bias alone.  Null ids and repeated rows are scored like others.  Labelled
 rows with a null label are not used; with labels of one class only, or none,
-every score is that class's share (0.5 without labels).
+nothing can be told apart and every score is (nearly) 0.
 """
 
 from __future__ import annotations
@@ -156,7 +156,7 @@ class SubwordSoftmax:
                 # one step size for a whole matrix: rows that many texts agree
                 # on move, rows of single texts hardly do
                 m[i] = 0.8 * m[i] + 0.2 * g
-                param -= rate * (1 if i == 0 else 0.1) * m[i] / (np.abs(m[i]).max() + 1e-12)
+                param -= rate * (1 if i == 0 else 0.1) * m[i] / (np.abs(m[i]).max(initial=0) + 1e-12)
             embed *= 1 - DECAY
         self.embed[used] = embed
         return self
@@ -214,9 +214,7 @@ def fit(sample: DataFrame) -> tuple[np.ndarray, float]:
     rows = sorted((r["text"], int(r["y"])) for r in sample.collect())
     y = np.array([r[1] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
-        share = float(y.mean()) if len(y) else 0.5
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return np.zeros(BUCKETS), float(np.log(share / (1 - share)))
+        return np.zeros(BUCKETS), -50.0
     return SubwordSoftmax().fit([r[0] for r in rows], y).tables()
 
 
