@@ -17,7 +17,7 @@ from eventlens.operators.media import (
     tone_lag_analysis,
     tone_sources_correlation,
 )
-from eventlens.operators.mentions import breaking_news, escalation_events
+from eventlens.operators.mentions import breaking_news, escalation_events, escalation_hours
 from eventlens.operators.text import gkg_themes_by_continent, top_organizations
 
 # Registry (R1): name, function, required input tables, in run order.
@@ -45,4 +45,4 @@ ANALYSES = [
 
 ANALYSIS_NAMES = [name for name, _, _ in ANALYSES]
 
-__all__ = ["ANALYSES", "ANALYSIS_NAMES"] + [fn.__name__ for _, fn, _ in ANALYSES]
+__all__ = ["ANALYSES", "ANALYSIS_NAMES", "escalation_hours"] + [fn.__name__ for _, fn, _ in ANALYSES]

@@ -18,75 +18,68 @@ from eventlens.operators.common import COUNTRY, hourly_mentions, previous_count
 OUTPUT = ["GLOBALEVENTID", "mention_hour", "hourly_mentions", "growth_rate", COUNTRY, "EventCode"]
 
 
-def escalation_events(
-    mentions: DataFrame,
-    events: DataFrame | None = None,
+def escalation_hours(
+    mentions: DataFrame | None,
     growth: float = 2.0,
     min_mentions: int = 10,
-    stage_dir: str | None = None,
     hourly: DataFrame | None = None,
     calendar: bool = False,
 ) -> DataFrame:
-    """09: hours whose mention count grew by more than ``growth`` over the
+    """The event hours whose mention count grew by more than ``growth`` over the
     previous observed hour and reached ``min_mentions``.
 
-    growth_rate = (n - prev) / prev, 0.0 for the first hour.  The qualifying
-    hours are left-joined to the event's action country and code; ids without
-    an event keep NULLs.
-
-    Join strategy.  The qualifying hours are few, the event table is the
-    largest input.  A broadcast hash join cannot build on the preserved side
-    of an outer join, so a plain left join shuffles the whole event
-    projection.  With ``stage_dir`` (a folder in the shared checkpoint
-    location) the hours are written first, which gives the planner their
-    measured size; then
-
-      matched   = hours INNER JOIN events   -> broadcast of the hours when their
-                                               measured size is under the
-                                               broadcast threshold (events are
-                                               streamed, not shuffled), else a
-                                               sort-merge join;
-      unmatched = hours LEFT ANTI matched ids (both sides small, staged too);
-      result    = matched UNION unmatched   == the left join.
-
-    Without ``stage_dir`` the plan is the plain left join (lazy, no writes).
-    ``hourly`` is an already built ``hourly_mentions`` base (shared with 17).
-    With ``calendar`` the comparison is with the directly preceding clock hour
-    only (an hour after a gap grows from nothing: rate 0.0).
+    growth_rate = (n - prev) / prev, 0.0 for the first hour.  ``hourly`` is an
+    already built ``hourly_mentions`` base (shared with 17).  With ``calendar``
+    the comparison is with the directly preceding clock hour only (an hour
+    after a gap grows from nothing: rate 0.0).
     """
     prev = previous_count(calendar)
     rate = F.when(
         prev > 0, (F.col("hourly_mentions") - prev) / prev
     ).otherwise(F.lit(0.0))
     base = hourly if hourly is not None else hourly_mentions(mentions)
-    hot = (
+    return (
         base.withColumn("growth_rate", rate)
         .filter((F.col("growth_rate") > growth) & (F.col("hourly_mentions") >= min_mentions))
         .drop("prev_mentions", "prev_hour")
     )
+
+
+def escalation_events(
+    mentions: DataFrame | None,
+    events: DataFrame | None = None,
+    growth: float = 2.0,
+    min_mentions: int = 10,
+    hourly: DataFrame | None = None,
+    calendar: bool = False,
+    hours: DataFrame | None = None,
+) -> DataFrame:
+    """09: the ``escalation_hours`` left-joined to their event's action country
+    and code; ids without an event keep NULLs.
+
+    Join strategy.  The qualifying hours are few, the event table is the
+    largest input.  A broadcast hash join cannot build on the preserved side
+    of an outer join, so a plain left join shuffles the whole event
+    projection.  ``hours`` takes the hours as a written table (the runner
+    stages them), whose measured size the planner knows.  Then the events are
+    first cut to those ids by a left semi join, which broadcasts the hours
+    while they are under the broadcast threshold (events are streamed, not
+    shuffled) and is a sort-merge join beyond it; the left join that follows
+    meets only events of those ids.  Without ``hours`` the plan is the plain
+    left join.  Nothing is written here in either case.
+    """
+    if hours is None:
+        hot = escalation_hours(mentions, growth, min_mentions, hourly, calendar)
+    else:
+        hot = hours
     if events is None:
         return hot.withColumn(COUNTRY, F.lit(None).cast("string")).withColumn(
             "EventCode", F.lit(None).cast("string")
         ).select(*OUTPUT)
     event_keys = events.select("GLOBALEVENTID", COUNTRY, "EventCode")
-    if stage_dir is None:
-        return hot.join(event_keys, "GLOBALEVENTID", "left").select(*OUTPUT)
-
-    spark = hot.sparkSession
-    root = stage_dir.rstrip("/")
-    hot.write.mode("overwrite").parquet(f"{root}/hours")
-    hours = spark.read.parquet(f"{root}/hours")
-    hours.join(event_keys, "GLOBALEVENTID").select(*OUTPUT).write.mode("overwrite").parquet(
-        f"{root}/matched"
-    )
-    matched = spark.read.parquet(f"{root}/matched")
-    unmatched = (
-        hours.join(matched.select("GLOBALEVENTID").distinct(), "GLOBALEVENTID", "left_anti")
-        .withColumn(COUNTRY, F.lit(None).cast("string"))
-        .withColumn("EventCode", F.lit(None).cast("string"))
-        .select(*OUTPUT)
-    )
-    return matched.unionByName(unmatched)
+    if hours is not None:
+        event_keys = event_keys.join(hours.select("GLOBALEVENTID"), "GLOBALEVENTID", "left_semi")
+    return hot.join(event_keys, "GLOBALEVENTID", "left").select(*OUTPUT)
 
 
 def breaking_news(

@@ -20,7 +20,7 @@ from eventlens.functions import continent
 from eventlens.plans import fixtures
 from eventlens.plans.views import iso_dates
 from eventlens.plans.oracle_sql import ANALYSIS_DATE
-from eventlens.session import scratch_path
+from eventlens.session import scratch_path, write_and_read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,10 +51,9 @@ def _analysis(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name == "sentiment_trend":
         return _round(ops.sentiment_trend(_events(spark, sf_dir)), "moving_avg_7d", 9)
     if name == "escalation_events":
-        return ops.escalation_events(
-            _mentions(spark, sf_dir), _events(spark, sf_dir),
-            stage_dir=scratch_path(spark, "escalation"),
-        )
+        hours = write_and_read(
+            ops.escalation_hours(_mentions(spark, sf_dir)), scratch_path(spark, "escalation"))
+        return ops.escalation_events(None, _events(spark, sf_dir), hours=hours)
     fn, needs = {n: (f, r) for n, f, r in ops.ANALYSES}[name]
     loaders = {"events": _events, "mentions": _mentions, "gkg": _gkg}
     return fn(*[loaders[t](spark, sf_dir) for t in needs])

@@ -3,9 +3,9 @@
 Isolation rules: no events table -> nothing runs; an analysis whose input is
 missing is skipped with a status; a failing analysis does not stop the
 others.  Each result's plan executes once (the write); its row count is then
-read from the written table's footers.  Analyses that can stage an
-intermediate (``stage_dir``) get a folder under the shared checkpoint
-location.  Results with lookup keys are written sorted on them.  The run
+read from the written table's footers.  Shared bases and the small inputs of
+``STAGED_INPUTS`` are written under the shared checkpoint location and removed
+at the end.  Results with lookup keys are written sorted on them.  The run
 record (one row per analysis) is written last, so it describes what actually
 happened.
 """
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventlens.operators import ANALYSES
 from eventlens.operators.common import daily_measures, hourly_mentions
-from eventlens.session import remove_path, scratch_path
+from eventlens.operators.mentions import escalation_hours
+from eventlens.session import remove_path, scratch_path, write_and_read
 from eventlens.sources.sinks import RUN_RECORD, read_result, run_record, write_result
 from eventlens.sources.slots import retain_since
 from eventlens.sources.tables import load_table
@@ -124,12 +125,14 @@ def run_all(
             try:
                 kwargs = dict(params.get(name, {}))
                 accepted = inspect.signature(fn).parameters
-                if "stage_dir" in accepted and "stage_dir" not in kwargs:
-                    kwargs["stage_dir"] = scratch_path(spark, f"stage-{name}")
-                    staging.append(kwargs["stage_dir"])
                 for base_name, base in shared.items():
                     if _takes_base(base_name, accepted, kwargs):
                         kwargs[base_name] = base
+                if name in STAGED_INPUTS:
+                    parameter, table, build = STAGED_INPUTS[name]
+                    if parameter in accepted and parameter not in kwargs:
+                        own = {k: v for k, v in kwargs.items() if k in inspect.signature(build).parameters}
+                        kwargs[parameter] = _stage(spark, build(inputs[table], **own), parameter, staging)
                 result = clustered(name, fn(*[inputs[t] for t in required], **kwargs))
                 if write_empty:
                     write_result(result, out_root, name, fmt)
@@ -164,10 +167,13 @@ def run_all(
 def _stage(spark: SparkSession, df: DataFrame, name: str, staging: list[str]) -> DataFrame:
     path = scratch_path(spark, f"base-{name}")
     staging.append(path)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_and_read(df, path)
 
 
+# Analyses that take a small intermediate as a written table, so that the planner
+# knows its size: parameter, input table, builder.
+STAGED_INPUTS = {"escalation_events": ("hours", "mentions", escalation_hours)}
+
 # Parameters a base is built with; an analysis called with its own value of one
 # must not be handed the base.
 BASE_PARAMETERS = {"daily": {"quad"}, "hourly": set()}

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on.  Partition counts are left to the
 # cluster's defaults plus AQE, which coalesces small shuffle partitions and
@@ -92,6 +92,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/eventlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back, its schema kept: later plans see
+    its measured size, and a lost executor costs a re-read."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the Hadoop file system."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,34 +2,49 @@
 
 Such slots disagree on types (a numeric column is integer in one slot and
 floating in the next; an all-missing text column may be stored as a number),
-so one Parquet scan over all of them fails.  Slots are grouped by their
-physical schema; each group is one scan, cast to the fixed types of
-``schemas``, and the groups are unioned.  Only folder names and file footers
-are read on the driver (bounded by the number of slots, not by the data).
+so one Parquet scan over all of them fails.  A Spark job reads the schema of
+every file (each file is one drop of a quarter of an hour, a few MB, and is one
+record of that job); the files of one schema are one scan, cast to the fixed
+types of ``schemas``, and the scans are unioned.  The driver holds file names
+and one schema per group, bounded by the number of slots, not by the data.  A
+file that is no readable Parquet raises an error.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.schemas import TABLE_COLUMNS, column_type, table_schema
 from eventlens.sources.delimited import coerce
+from eventlens.sources.tables import path_exists
 
 
-def slot_folders(spark: SparkSession, table_root: str) -> list[str]:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    return sorted(
-        st.getPath().toString() for st in fs.listStatus(path)
-        if st.isDirectory() and st.getPath().getName().startswith("ts=")
+def slot_files(spark: SparkSession, table_root: str) -> DataFrame:
+    """``path, layout``: every file under the slot folders and a digest of its
+    physical column names and types."""
+
+    def layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for content in batch.column(1):
+                fields = pq.read_schema(pa.BufferReader(content.as_buffer()))
+                found.append("\n".join(f"{f.name}\t{f.type}" for f in fields))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.string())], names=["path", "layout"])
+
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .load(table_root).where(F.col("path").rlike("/ts=[^/]*/"))
     )
+    found = files.select("path", "content").mapInArrow(layouts, "path string, layout string")
+    return found.select("path", F.md5("layout").alias("layout"))
 
 
 def _typed(c: Column, found: T.DataType, wanted: T.DataType) -> Column:
@@ -43,20 +58,19 @@ def _typed(c: Column, found: T.DataType, wanted: T.DataType) -> Column:
 
 def read_legacy_table(spark: SparkSession, table_root: str, table: str) -> DataFrame:
     """All slots of one table, typed like an ingested table (``ts`` a string)."""
-    groups: dict[str, list[str]] = defaultdict(list)
-    schemas: dict[str, T.StructType] = {}
-    for folder in slot_folders(spark, table_root):
-        schema = spark.read.parquet(folder).schema
-        key = schema.json()
-        groups[key].append(folder)
-        schemas[key] = schema
     target = table_schema(table)
+    if not path_exists(spark, table_root):
+        return spark.createDataFrame([], target)
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in slot_files(spark, table_root).orderBy("path").collect():  # one short row per file
+        groups[row["layout"]].append(row["path"])
     if not groups:
         return spark.createDataFrame([], target)
     parts = []
-    for key, folders in groups.items():
-        found = {f.name: f.dataType for f in schemas[key].fields}
-        scan = spark.read.schema(schemas[key]).option("basePath", table_root).parquet(*folders)
+    for files in groups.values():
+        schema = spark.read.parquet(files[0]).schema
+        found = {f.name: f.dataType for f in schema.fields}
+        scan = spark.read.schema(schema).parquet(*files)
         cols = []
         for name in TABLE_COLUMNS[table] + ["load_timestamp"]:
             wanted = column_type(table, name) if name != "load_timestamp" else T.StringType()
