@@ -36,13 +36,13 @@ def sample_tables(spark: SparkSession, root: str) -> dict:
 def plan_text(df) -> str:
     text = df._jdf.queryExecution().executedPlan().toString()
     # the sample folder is machine-local; show the table instead
-    return re.sub(r"InMemoryFileIndex\(\d+ paths\)\[[^\]]*/(\w+)\]", r"InMemoryFileIndex[<\1 table>]", text)
+    return re.sub(r"InMemoryFileIndex\(\d+ paths\)\[[^\]]*/(\w+)(?:-[0-9a-f]{12})?\]", r"InMemoryFileIndex[<\1 table>]", text)
 
 
 def main(out=sys.stdout) -> None:
     spark = build_session(app_name="eventlens-explain")
     feeds = sample_tables(spark, scratch_path(spark, "explain"))
-    hours = write_and_read(ops.escalation_hours(feeds["mentions"]), scratch_path(spark, "explain-hours"))
+    hours = write_and_read(ops.escalation_hours(feeds["mentions"]), scratch_path(spark, "hours"))
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     out.write("# Physical plans over the ingested table layout\n\n")
