@@ -248,11 +248,10 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     groups = simhash_components(docs, id_col, text_col, **options)
     leaders = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(leaders, id_col, "left_semi").select(docs.columns)
+    # the whole row as one value, so no column of docs can clash with ours
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kept = rows.join(leaders.withColumnRenamed(id_col, "id"), "id", "left_semi")
     others = sorted(c for c in docs.columns if c not in (id_col, text_col))
-    order = [F.col(text_col), *(F.to_json(F.struct(F.col(f"`{c}`"))) for c in others)]
-    ranked = kept.withColumn("__row", F.row_number().over(Window.partitionBy(id_col).orderBy(*order)))
-    return (
-        ranked.where("__row = 1").drop("__row")
-        .unionByName(docs.where(F.col(id_col).isNull()))
-    )
+    order = [F.col("row")[text_col], *(F.to_json(F.struct(F.col("row")[c].alias("v"))) for c in others)]
+    ranked = kept.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(*order))).where("n = 1")
+    return ranked.select("row").unionByName(rows.where("id is null").select("row")).select("row.*")

@@ -145,12 +145,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     gone = (
         table.join(owners, "run").where("doc <> owner")
-        .groupBy("doc").agg(F.collect_set("run").alias("__gone"))
+        .groupBy("doc").agg(F.collect_set("run").alias("gone"))
     )
     names = [c for c in docs.columns if c != removed_col]
     at = names.index(text_col)
     rows = docs.select(*(F.col(f"`{c}`") for c in names))
-    joined = rows.join(gone, rows[f"`{id_col}`"] == gone["doc"], "left").drop("doc")
+    lists_col = "gone" + "_" * max(map(len, names))  # longer than any column of docs
+    joined = rows.join(gone, rows[f"`{id_col}`"] == gone["doc"], "left").select(
+        *(rows[f"`{c}`"] for c in names), gone["gone"].alias(lists_col))
     id_at = names.index(id_col)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
