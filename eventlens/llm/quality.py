@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from eventlens.llm.shared import sampled_ids, text_bytes, widened
+from eventlens.llm.shared import map_arrow, sampled_ids, text_bytes, widened
 
 MAX_ROWS = 6000
 MIN_MASS = 0.1
@@ -148,7 +148,7 @@ def with_features(docs: DataFrame, text_col: str = "text", out: str = "features"
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*names, out])
 
     kept = docs.select(*(F.col(f"`{c}`") for c in [*names, text_col]))
-    return kept.mapInArrow(run, widened(kept.drop(text_col).schema, (out, ArrayType(FloatType()))))
+    return map_arrow(kept, run, widened(kept.drop(text_col).schema, (out, ArrayType(FloatType()))))
 
 
 def _sample(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, salt: str, limit: int) -> np.ndarray:
@@ -195,4 +195,4 @@ def score(docs: DataFrame, net: ShapeNet | None, text_col: str = "text", out: st
                 [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*names, out])
 
     kept = docs.select(*(F.col(f"`{c}`") for c in [*names, text_col]))
-    return kept.mapInArrow(run, widened(kept.drop(text_col).schema, (out, "double")))
+    return map_arrow(kept, run, widened(kept.drop(text_col).schema, (out, "double")))

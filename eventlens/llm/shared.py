@@ -32,6 +32,12 @@ def widened(schema: StructType, *fields: tuple) -> StructType:
     return out
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """``mapInArrow`` over columns renamed by position: ``df`` may hold columns of
+    any name, also several of one name or with dots."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every text of an Arrow column; null counts as empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import staged, text_bytes, widened
+from eventlens.llm.shared import map_arrow, staged, text_bytes, widened
 
 MIN_UNITS = 3
 MIN_WORDS = 20
@@ -150,9 +150,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = [c for c in docs.columns if c != removed_col]
     at = names.index(text_col)
     rows = docs.select(*(F.col(f"`{c}`") for c in names))
-    lists_col = "gone" + "_" * max(map(len, names))  # longer than any column of docs
     joined = rows.join(gone, rows[f"`{id_col}`"] == gone["doc"], "left").select(
-        *(rows[f"`{c}`"] for c in names), gone["gone"].alias(lists_col))
+        *(rows[f"`{c}`"] for c in names), gone["gone"])
     id_at = names.index(id_col)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,4 +170,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             columns = [*batch.columns[:at], new, *batch.columns[at + 1:len(names)], pa.array(counts, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, removed_col])
 
-    return joined.mapInArrow(go, widened(rows.schema, (removed_col, "integer")))
+    return map_arrow(joined, go, widened(rows.schema, (removed_col, "integer")))

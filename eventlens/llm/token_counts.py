@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import WordMemo, widened
+from eventlens.llm.shared import WordMemo, map_arrow, widened
 
 MARK = "▁"
 UNKNOWN = "<unk>"
@@ -130,4 +130,4 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
 
     kept = docs.select(*(F.col(f"`{c}`") for c in [*names, text_col]))
     schema = widened(kept.drop(text_col).schema, (count_col, "long"), (score_col, "double"))
-    return kept.mapInArrow(run, schema)
+    return map_arrow(kept, run, schema)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import WordMemo, sampled_ids, widened
+from eventlens.llm.shared import WordMemo, map_arrow, sampled_ids, widened
 
 MAX_ROWS_PER_CLASS = 800
 MAX_TRAIN_CHARS = 6000
@@ -233,4 +233,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
                 [*batch.columns, pa.array(scores, pa.float64())], names=[*names, out])
 
     kept = docs.select(*(F.col(f"`{c}`") for c in names))
-    return kept.mapInArrow(run, widened(kept.schema, (out, "double")))
+    return map_arrow(kept, run, widened(kept.schema, (out, "double")))
