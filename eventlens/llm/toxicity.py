@@ -14,6 +14,12 @@ training rows are left out (their vectors are zero), and all vectors decay, so
 the words peculiar to one training row cannot carry its label.  A bag's average
 counts ``DAMP`` zero vectors besides, so words of few n-grams weigh less.
 
+A stretch without white space of over ``LONG_WORD`` characters (Chinese,
+Japanese or Thai text, URLs, words joined by marks) is read whole, as words of
+``PIECE_CHARS`` characters, each half over the one before, so an insult in it
+weighs about what a spaced one does; where marks divide it, the parts between
+them of at most ``LONG_WORD`` characters are words besides.
+
 The model is fitted on a bounded, seeded sample of labelled rows (at most
 ``MAX_ROWS_PER_CLASS`` of each class and no row over ``MAX_TRAIN_CHARS``
 characters, so the driver holds at most their product).  Scoring reads whole
@@ -51,19 +57,33 @@ RATE = 1.0
 DAMP = 6
 DECAY = 2e-3
 CACHE_WORDS = 200_000
+LONG_WORD = 40
+PIECE_CHARS = 10
 _EDGES = re.compile(r"^\W+|\W+$")
+_PART = re.compile(r"[^\W_]+")
 
 
 def word_buckets(word: str) -> list[int]:
     """Embedding rows of a bare word: the bordered word and its UTF-8 n-grams."""
-    text = f"<{word[:40]}>".encode("utf-8", "replace")
+    text = f"<{word}>".encode("utf-8", "replace")
     crc, n = zlib.crc32, len(text)
     return [crc(text) % BUCKETS] + [
         crc(text[i:i + k]) % BUCKETS for k in GRAMS for i in range(n - k + 1)]
 
 
+def pieces(word: str) -> list[str]:
+    """A long word as shorter ones in text order; every n-gram is in one whole."""
+    step = PIECE_CHARS // 2
+    found = [(at, word[at:at + PIECE_CHARS]) for at in range(0, len(word) - PIECE_CHARS + step, step)]
+    parts = [(m.start(), m.group()) for m in _PART.finditer(word) if m.end() - m.start() <= LONG_WORD]
+    return [w for _, w in sorted(found + parts)]
+
+
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) <= LONG_WORD:
+        return words
+    return [p for w in words for p in (pieces(w) if len(w) > LONG_WORD else [w])]
 
 
 def window_bounds(n: int, width: int = WINDOW_WORDS) -> tuple[np.ndarray, np.ndarray]:
