@@ -5,13 +5,13 @@ window's worth becomes a sequence of its own, the rest is placed online.  A
 placement chooses, among the fill levels that hold an open window (and the
 level of a new window), the one that makes the sum of squared counts of
 partially filled windows smallest; the counts live in a level array, ties go
-to the fullest window.  At the end of a partition the windows still open are
-merged: pieces of the emptiest are cut to fill the fullest, which leaves at
-most one padded window per partition.
+to the fullest window.  Past ``MAX_OPEN`` open windows, and at the end of a
+partition, the open windows are merged: pieces of the emptiest are cut to fill
+the fullest, which leaves one partial window to go on with, and so at most one
+padded window per partition of any size.
 
-Packing is online per input partition: no shuffle, memory bounded by the open
-windows' pieces (written out at ``MAX_OPEN`` open windows), and a lost task is redone
-from its own input alone.  Sequence ids combine the partition and a counter.
+Packing is online per input partition: no shuffle, memory bounded by the pieces
+of ``MAX_OPEN`` open windows, and a lost task is redone from its own input alone.  Sequence ids combine the partition and a counter.
 
 Nulls: a null text is empty and yields one piece holding the separator.  A
 null id or a repeated id is packed like any other row.
@@ -112,7 +112,22 @@ class SumOfSquares:
         if level == window:
             return pieces
         self._put(level, pieces)
-        return self._take(int(np.flatnonzero(counts)[-1])) if self.n_open > self.max_open else None
+        return None
+
+    def relieve(self) -> tuple[list[list[tuple]], set[int]]:
+        """Past ``max_open`` open windows: full windows merged from them, and the
+        rows that have a piece in the partial window that stays open."""
+        if self.n_open <= self.max_open:
+            return [], set()
+        merged = list(self.finish())
+        self.counts[:] = 0
+        self.open, self.n_open = {}, 0
+        level = sum(p[2] for p in merged[-1])
+        if level == self.window:
+            return merged, set()
+        rest = merged.pop()
+        self._put(level, rest)
+        return merged, {p[0] for p in rest}
 
     def finish(self) -> Iterator[list[tuple]]:
         """The open windows, merged by cutting until at most one is partial."""
@@ -166,8 +181,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 at += length
             n_seq += 1
 
-        def release(pieces):
-            for row in {p[0] for p in pieces}:
+        def release(pieces, still_open=()):
+            for row in {p[0] for p in pieces}.difference(still_open):
                 held.pop(row, None)
 
         def table():
@@ -196,6 +211,13 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                     if full:
                         emit(full)
                         release(full)
+                    merged, still_open = packer.relieve()
+                    for pieces in merged:
+                        emit(pieces)
+                        if out_bytes > 8 << 20:
+                            yield table()
+                    for pieces in merged:
+                        release(pieces, still_open)
                 n_row += 1
                 if out_bytes > 8 << 20:
                     yield table()
