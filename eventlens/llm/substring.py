@@ -11,6 +11,10 @@ there, and its extensions up to where the next unit's shortest run ends, so
 any repeated stretch is covered to its last unit.  Runs are hashed (64 bits;
 words compared with ASCII case folded and white space as one blank).
 
+Limit: words are parted by ASCII white space and sentences end at ASCII marks,
+so a line of Chinese or Japanese without blanks is one unit of one word, and a
+passage repeated there goes only from ``MIN_WORDS`` such lines on.
+
 A run belongs to the document with the smallest id that holds it, at its first
 place there.  Units covered by a run anywhere else are removed.  Rows sharing
 an id count as one document for this order.
