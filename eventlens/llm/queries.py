@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import (
-    embedding_dedup, licenses, mixing, packing, quality, simhash, substring, token_counts, topk, toxicity,
+    centroids, codebooks, embedding_dedup, language, licenses, mixing, packing, quality, simhash, substring,
+    token_counts, topk, toxicity,
 )
+from eventlens.llm.shared import staged
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS_DIR", "/opt/tokenizers")
@@ -90,10 +93,48 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def _digest(components) -> str:
+    """Lower-case sha256 of integers in decimal, joined by commas."""
+    return hashlib.sha256(",".join(map(str, components.ravel().tolist())).encode()).hexdigest()
+
+
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, dim = codebooks.lattice_table(_read(spark, sf_dir, "embeddings"), label=F.col("label"))
+    books = codebooks.fit_codebooks(table, dim)
+    coded = staged(codebooks.encode(table, books), "codes")
+    # a row per label, written: the planner broadcasts it only while it is small
+    by_label = staged(coded.groupBy("label").agg(F.sum("error").alias("label_error")), "label-errors")
+    hexed = F.array_join(F.transform("code", lambda e: F.format_string("%02x", e)), "")
+    return coded.join(by_label, coded["label"].eqNullSafe(by_label["label"]), "left").select(
+        F.col("id").alias("vec_id"), hexed.alias("code"), "error", "label_error",
+        F.lit(_digest(books)).alias("codebooks_sha256"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, centers = centroids.cluster(_read(spark, sf_dir, "embeddings"))
+    inertia = {r["cluster"]: r["d"] for r in rows.groupBy("cluster").agg(F.sum("distance").alias("d")).collect()}
+    of_cluster = F.array(*(F.struct(  # one entry per centroid
+        F.lit(inertia.get(k, 0)).cast("long").alias("inertia"), F.lit(_digest(center)).alias("sha"))
+        for k, center in enumerate(centers)) or [F.struct(F.lit(0).cast("long").alias("inertia"), F.lit("").alias("sha"))])
+    own = F.element_at(of_cluster, F.col("cluster") + 1)
+    return rows.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", own["inertia"].alias("cluster_inertia"),
+        F.lit(sum(inertia.values())).cast("long").alias("inertia"), own["sha"].alias("centroid_sha256"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.fit(docs.where(~F.coalesce(held_out, F.lit(False))))
+    return language.identify(docs.drop("lang"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def query_functions() -> dict:
     return {f.__name__: f for f in (
         op1_packing, op2_license_scan, op3_mixing, op4_embedding_dedup, op5_quality, op6_token_counts,
-        op7_simhash, op8_substring_dedup, op9_toxicity, op10_topk)}
+        op7_simhash, op8_substring_dedup, op9_toxicity, op10_topk, op11_vector_codes, op12_centroids,
+        op13_language)}
 
 
 def _license_sql() -> str:
@@ -214,10 +255,84 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, cast(n AS int) AS rank, vec_id, score FROM r WHERE n <= 5"""
 
 
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """All rounds unrolled over one row per vector, part and component."""
+
+    def assigned(name: str, book: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, entry, d FROM (
+    SELECT v.vec_id, v.label, v.part, v.x, b.entry, list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint AS d,
+      row_number() OVER (PARTITION BY v.n, v.part ORDER BY d, b.entry) AS place
+    FROM v JOIN {book} b USING (part)) WHERE place = 1)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(assigned(f"a{r}", f"b{r}"))
+        steps.append(f"""
+b{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN (
+    SELECT part, entry, list(floor_sum ORDER BY i) AS x FROM (
+      SELECT part, entry, i, cast((sum(c) - (sum(c) % count(*) + count(*)) % count(*)) // count(*) AS bigint) AS floor_sum
+      FROM (SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY ALL) GROUP BY ALL
+  ) m USING (part, entry))""")
+    return f"""
+WITH q AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: cast(floor({codebooks.SCALE} * x::double) AS bigint)) AS x,
+    row_number() OVER (ORDER BY vec_id) AS n FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (
+  SELECT vec_id, label, n, part, x[part * (len(x) // {parts}) + 1 : (part + 1) * (len(x) // {parts})] AS x
+  FROM q, (SELECT unnest(range({parts})) AS part)),
+b0 AS MATERIALIZED (SELECT part, n - 1 AS entry, x FROM v WHERE n <= {entries}),
+{",".join(steps)},
+{assigned("final", f"b{rounds}")},
+sha AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::bigint AS error
+  FROM final GROUP BY vec_id, label)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256
+FROM coded, sha"""
+
+
+def _centroids_sql(k: int = 8, rounds: int = 10) -> str:
+    def assigned(name: str, centers: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT vec_id, x, cluster, d FROM (
+    SELECT v.vec_id, v.x, c.cluster, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint AS d,
+      row_number() OVER (PARTITION BY v.n ORDER BY d, c.cluster) AS place
+    FROM v, {centers} c) WHERE place = 1)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(assigned(f"a{r}", f"c{r}"))
+        steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT cluster, list(mean ORDER BY i) AS x FROM (
+      SELECT cluster, i, cast((sum(y) - (sum(y) % count(*) + count(*)) % count(*)) // count(*) AS bigint) AS mean
+      FROM (SELECT cluster, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY ALL) GROUP BY ALL
+  ) m USING (cluster))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: cast(floor({centroids.SCALE} * x::double) AS bigint)) AS x,
+    row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id)) AS n FROM embeddings
+  WHERE len(embedding) = {centroids.DIM} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT cast(n - 1 AS int) AS cluster, x FROM v WHERE n <= {k}),
+{",".join(steps)},
+{assigned("final", f"c{rounds}")}
+SELECT vec_id, cluster, d AS distance, cast(sum(d) OVER (PARTITION BY cluster) AS bigint) AS cluster_inertia,
+  cast(sum(d) OVER () AS bigint) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM final JOIN c{rounds} c USING (cluster)"""
+
+
 def oracle_statements() -> dict[str, str]:
     return {
         "op2_license_scan": _license_sql(),
         "op3_mixing": mixing_sql(),
         "op4_embedding_dedup": EMBEDDING_SQL,
         "op10_topk": TOPK_SQL,
+        "op11_vector_codes": _codes_sql(),
+        "op12_centroids": _centroids_sql(),
     }
