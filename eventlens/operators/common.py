@@ -13,10 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.functions import event_date, mention_hour
+from eventlens.functions import event_date
 from eventlens.functions.maps import CONFLICT_CLASSES
-
-COUNTRY = "ActionGeo_CountryCode"
+from eventlens.operators.rollup import COUNTRY, mention_hours
 
 
 def daily_country(events: DataFrame, *aggs: Column, where: Column | None = None) -> DataFrame:
@@ -59,16 +58,14 @@ def mean(total: str, n: str) -> Column:
     return F.try_divide(F.col(total), F.col(n))
 
 
-def hourly_mentions(mentions: DataFrame) -> DataFrame:
+def hourly_mentions(mentions: DataFrame | None, hours: DataFrame | None = None) -> DataFrame:
     """Mentions per event and hour bucket, with the count and the bucket of the
     previous observed hour of the same event (``prev_mentions``, ``prev_hour``;
-    NULL for the first).
+    NULL for the first).  ``hours`` are already counted ``mention_hours``.
 
     The window is ordered ascending, so a NULL hour sorts first (Spark's default).
     """
-    hourly = mentions.groupBy(
-        F.col("GLOBALEVENTID"), mention_hour("MentionTimeDate").alias("mention_hour")
-    ).agg(F.count(F.lit(1)).alias("hourly_mentions"))
+    hourly = hours if hours is not None else mention_hours(mentions)
     w = Window.partitionBy("GLOBALEVENTID").orderBy(F.col("mention_hour").asc_nulls_first())
     return hourly.withColumn("prev_mentions", F.lag("hourly_mentions", 1).over(w)).withColumn(
         "prev_hour", F.lag("mention_hour", 1).over(w)

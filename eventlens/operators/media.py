@@ -6,22 +6,50 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions import safe_corr
 from eventlens.functions.maps import CONFLICT_CLASSES
 from eventlens.operators.common import COUNTRY, daily_measures, mean
+from eventlens.operators.rollup import days as measured_days
+from eventlens.operators.rollup import mention_sources
 
 
-def tone_sources_correlation(events: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+def _correlation_of_sums() -> Column:
+    """Pearson correlation from merged sums; NULL for a constant side, which the
+    extremes tell exactly."""
+    n, x, y = F.col("pair_n"), F.col("pair_tone"), F.col("pair_sources")
+    spread_x = F.sqrt(F.greatest(F.lit(0.0), F.col("pair_tone_squares") - F.try_divide(x * x, n)))
+    spread_y = F.sqrt(F.greatest(F.lit(0.0), F.col("pair_sources_squares") - F.try_divide(y * y, n)))
+    varied = (F.col("tone_low") < F.col("tone_high")) & (F.col("sources_low") < F.col("sources_high"))
+    return F.when(varied, F.try_divide(F.col("pair_products") - F.try_divide(x * y, n), spread_x * spread_y))
+
+
+def tone_sources_correlation(
+    events: DataFrame | None, as_of: dt.date | str | None = None, measures: DataFrame | None = None
+) -> DataFrame:
     """03: one row over the whole table.
 
     ``sample_size`` counts every row; the correlation only rows where both
     AvgTone and NumSources are present.  ``analysis_date`` is ``as_of``
-    (default: today).
+    (default: today).  ``measures`` is an already built ``event_measures``
+    roll-up, whose moments add up.
     """
     stamp = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    if measures is not None:
+        sums = ["n_events", "tone_sum", "tone_n", "sources_sum", "sources_n", "pair_n", "pair_tone", "pair_sources",
+                "pair_tone_squares", "pair_sources_squares", "pair_products"]
+        total = measured_days(measures).agg(
+            *(F.sum(c).alias(c) for c in sums),
+            *(F.min(c).alias(c) for c in ("tone_low", "sources_low")),
+            *(F.max(c).alias(c) for c in ("tone_high", "sources_high")))
+        return total.select(
+            _correlation_of_sums().alias("correlation"),
+            F.coalesce("n_events", F.lit(0)).alias("sample_size"),
+            mean("tone_sum", "tone_n").alias("avg_tone"),
+            mean("sources_sum", "sources_n").alias("avg_sources"),
+        ).withColumn("analysis_date", stamp)
     return events.agg(
         safe_corr("AvgTone", "NumSources").alias("correlation"),
         F.count(F.lit(1)).alias("sample_size"),
@@ -30,20 +58,34 @@ def tone_sources_correlation(events: DataFrame, as_of: dt.date | str | None = No
     ).withColumn("analysis_date", stamp)
 
 
-def media_coverage(events: DataFrame) -> DataFrame:
+def media_coverage(events: DataFrame | None, measures: DataFrame | None = None) -> DataFrame:
     """06: events, mentions and mentions per event by action country.
 
     ``mentions_per_event_ratio`` divides by all events, so it differs from the
-    average when NumMentions has NULLs.
+    average when NumMentions has NULLs.  ``measures`` is an already built
+    ``event_measures`` roll-up.
     """
-    return (
-        events.filter(F.col(COUNTRY).isNotNull())
-        .groupBy(F.col(COUNTRY).alias("country_code"))
-        .agg(
-            F.count(F.lit(1)).alias("total_events"),
-            F.sum("NumMentions").alias("total_mentions"),
-            F.avg("NumMentions").alias("avg_mentions_per_event"),
+    if measures is not None:
+        by_country = (
+            measured_days(measures).filter(F.col("country_code").isNotNull()).groupBy("country_code")
+            .agg(
+                F.sum("n_events").alias("total_events"),
+                F.sum("mentions_sum").alias("total_mentions"),
+                F.try_divide(F.sum("mentions_sum"), F.sum("mentions_n")).alias("avg_mentions_per_event"),
+            )
         )
+    else:
+        by_country = (
+            events.filter(F.col(COUNTRY).isNotNull())
+            .groupBy(F.col(COUNTRY).alias("country_code"))
+            .agg(
+                F.count(F.lit(1)).alias("total_events"),
+                F.sum("NumMentions").alias("total_mentions"),
+                F.avg("NumMentions").alias("avg_mentions_per_event"),
+            )
+        )
+    return (
+        by_country
         .withColumn("mentions_per_event_ratio", F.col("total_mentions") / F.col("total_events"))
     )
 
@@ -107,7 +149,11 @@ def tone_lag_analysis(
 
 
 def source_diversity_index(
-    mentions: DataFrame, events: DataFrame, approximate: bool = False, rsd: float = 0.01
+    mentions: DataFrame | None,
+    events: DataFrame,
+    approximate: bool = False,
+    rsd: float = 0.01,
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """15: per action country of the mentioned event: distinct sources,
     mentions, distinct events and sources per event.
@@ -124,11 +170,10 @@ def source_diversity_index(
     exchange; counts per (country, source) and then per country follow, whose
     shuffles have the size countries x sources, not events.  With
     ``approximate`` the counts are HyperLogLog++ sketches (relative standard
-    deviation ``rsd``), which merge map-side.
+    deviation ``rsd``), which merge map-side.  ``sources`` are already built
+    ``mention_sources``.
     """
-    per_source = mentions.groupBy("GLOBALEVENTID", "MentionSourceName").agg(
-        F.count(F.lit(1)).alias("n_mentions")
-    )
+    per_source = sources if sources is not None else mention_sources(mentions)
     event_country = events.select("GLOBALEVENTID", F.col(COUNTRY).alias("country_code")).filter(
         F.col("country_code").isNotNull()
     )

@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Analyses run side by side share the executors fairly (plans/runner.py).
+    "spark.scheduler.mode": "FAIR",
     # Generated methods above this size (bytes of bytecode) are never compiled
     # by the JVM; such stages then run through smaller generated functions.
     "spark.sql.codegen.hugeMethodLimit": "8000",

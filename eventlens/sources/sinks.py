@@ -1,12 +1,23 @@
-"""S9 + S10: result tables and the run record."""
+"""S9 + S10: result tables and the run record.
+
+A result in a file format is replaced atomically (``versions``): readers see the
+old result until the new one is complete, and keep it if the write fails.  Other
+formats (table formats, document-store connectors) replace by their own rules.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from eventlens.sources.versions import commit, current_path, write_version
+
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro"}
+
 # --- fixed values: name of the run-record table, as the reference names it ---
 RUN_RECORD = "pipeline_metadata"
 # --- end of fixed values ---
@@ -25,19 +36,36 @@ def result_path(out_root: str, name: str) -> str:
     return f"{out_root.rstrip('/')}/{name}"
 
 
-def write_result(df: DataFrame, out_root: str, name: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
+def write_result(
+    df: DataFrame, out_root: str, name: str, fmt: str = "parquet", proceed: Callable[[], bool] = lambda: True,
+) -> str:
     """Replace the named result table; returns its location.
 
     The format is a parameter: any installed data source works (parquet,
     orc, json, a table format, or a document-store connector if present).
+    ``proceed`` is asked once the new result is written; if it says no, the
+    old result stays.
     """
-    path = result_path(out_root, name)
-    df.write.mode(mode).format(fmt).save(path)
-    return path
+    root = result_path(out_root, name)
+    if fmt.lower() not in FILE_FORMATS:
+        df.write.mode("overwrite").format(fmt).save(root)
+        return root
+    version = write_version(df, root, fmt)
+    if not proceed():
+        raise RuntimeError(f"result {name} given up before it was committed")
+    commit(df.sparkSession, root, version)
+    return f"{root}/{version}"
+
+
+def result_location(spark: SparkSession, out_root: str, name: str) -> str:
+    """The folder that holds the named result: the committed version, or the
+    root itself for a result written without versions."""
+    root = result_path(out_root, name)
+    return current_path(spark, root) or root
 
 
 def read_result(spark: SparkSession, out_root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(result_path(out_root, name))
+    return spark.read.format(fmt).load(result_location(spark, out_root, name))
 
 
 def run_record(spark: SparkSession, statuses: list[dict], when: dt.datetime | None = None) -> DataFrame:
