@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import event_date
 from eventlens.functions.maps import CONFLICT_CLASSES
-from eventlens.operators.rollup import COUNTRY, mention_hours
+from eventlens.operators.rollup import COUNTRY, daily_of, mention_hours
 
 
 def daily_country(events: DataFrame, *aggs: Column, where: Column | None = None) -> DataFrame:
@@ -53,6 +53,19 @@ def daily_measures(events: DataFrame, quad: Sequence[int] = CONFLICT_CLASSES) ->
     )
 
 
+def daily_base(
+    events: DataFrame | None,
+    daily: DataFrame | None,
+    measures: DataFrame | None,
+    quad: Sequence[int] = CONFLICT_CLASSES,
+) -> DataFrame:
+    """The daily base as handed over, from the ``event_measures`` roll-up, or
+    from events."""
+    if daily is not None:
+        return daily
+    return daily_measures(events, quad) if measures is None else daily_of(measures, quad)
+
+
 def mean(total: str, n: str) -> Column:
     """sum / count as ``avg`` gives it: NULL when there is nothing to average."""
     return F.try_divide(F.col(total), F.col(n))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import country_pair, event_date, interaction_type, region
 from eventlens.functions.maps import CONFLICT_CLASSES, OTHER
-from eventlens.operators.common import COUNTRY, daily_measures, mean
+from eventlens.operators.common import COUNTRY, daily_base, mean
 from eventlens.operators.rollup import ETHNICITIES, PAIRS, RELIGIONS, counts_of, days
 
 
@@ -18,18 +18,19 @@ def conflict_heatmap(
     events: DataFrame | None,
     quad: Sequence[int] = CONFLICT_CLASSES,
     daily: DataFrame | None = None,
+    measures: DataFrame | None = None,
 ) -> DataFrame:
     """01: per day and action country over conflict events: mean Goldstein,
     event count and the sum of absolute Goldstein values.
 
     ``daily`` is an already built ``daily_measures`` base (its conflict
-    classes apply); without it the base is built from ``events``.
+    classes apply), ``measures`` an ``event_measures`` roll-up; without either
+    the base is built from ``events``.
     """
-    if daily is None:
+    if daily is None and measures is None:
         # Alone, only conflict rows are needed: the filter reaches the scan.
-        conflict_rows = events.filter(F.col("QuadClass").isin(*quad))
-        daily = daily_measures(conflict_rows, quad)
-    base = daily
+        events = events.filter(F.col("QuadClass").isin(*quad))
+    base = daily_base(events, daily, measures, quad)
     return base.filter(F.col("n_conflict") > 0).select(
         "event_date",
         "country_code",

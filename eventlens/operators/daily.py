@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions import hour_utc
-from eventlens.operators.common import daily_measures, mean, top_per_group
+from eventlens.operators.common import daily_base, mean, top_per_group
 from eventlens.operators.rollup import HOURS
 
 
-def top_countries_events(events: DataFrame | None, n: int = 10, daily: DataFrame | None = None) -> DataFrame:
+def top_countries_events(
+    events: DataFrame | None, n: int = 10, daily: DataFrame | None = None, measures: DataFrame | None = None
+) -> DataFrame:
     """02: the ``n`` action countries with most events per day; ties broken by
     country code.  ``row_number`` + a rank filter plans as WindowGroupLimit, a
     per-partition top-n before the shuffle, so a day never ships more than
     ``n`` rows per map task."""
-    base = daily if daily is not None else daily_measures(events)
+    base = daily_base(events, daily, measures)
     counts = base.select("event_date", "country_code", F.col("n_events").alias("event_count"))
     return top_per_group(counts, ["event_date"], "event_count", "country_code", n)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import safe_corr
 from eventlens.functions.maps import CONFLICT_CLASSES
-from eventlens.operators.common import COUNTRY, daily_measures, mean
+from eventlens.operators.common import COUNTRY, daily_base, mean
 from eventlens.operators.rollup import days as measured_days
 from eventlens.operators.rollup import mention_sources
 
@@ -95,11 +95,12 @@ def sentiment_trend(
     rows: int = 7,
     daily: DataFrame | None = None,
     calendar: bool = False,
+    measures: DataFrame | None = None,
 ) -> DataFrame:
     """07: daily mean tone per country and its moving mean over the current
     and ``rows - 1`` previous *observed* days of that country; with
     ``calendar``, over the last ``rows`` calendar days instead."""
-    base = daily if daily is not None else daily_measures(events)
+    base = daily_base(events, daily, measures)
     days = base.select("event_date", "country_code", mean("tone_sum", "tone_n").alias("daily_avg_tone"))
     if calendar:
         w = (
@@ -121,12 +122,13 @@ def tone_lag_analysis(
     quad: Sequence[int] = CONFLICT_CLASSES,
     daily: DataFrame | None = None,
     calendar: bool = False,
+    measures: DataFrame | None = None,
 ) -> DataFrame:
     """13: per country, correlation of the daily mean tone with the conflict
     count of the next observed day; the last day of a country has no partner
     and is dropped.  ``observations`` counts the remaining days.  With
     ``calendar`` a day pairs only with the next calendar day (else dropped)."""
-    base = daily if daily is not None else daily_measures(events, quad)
+    base = daily_base(events, daily, measures, quad)
     days = base.select(
         "event_date", "country_code",
         mean("tone_sum", "tone_n").alias("avg_tone"),

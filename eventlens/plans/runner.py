@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventlens.operators import ANALYSES
 from eventlens.operators.common import hourly_mentions
 from eventlens.operators.mentions import escalation_hours
-from eventlens.operators.rollup import daily_of, event_codes, event_measures
+from eventlens.operators.rollup import event_codes, event_measures
 from eventlens.session import remove_path, scratch_path, write_and_read
 from eventlens.sources.sinks import RUN_RECORD, read_result, run_record, write_result
 from eventlens.sources.slots import retain_since
@@ -247,9 +247,9 @@ STAGED_INPUTS = {"escalation_events": ("hours", "mentions", escalation_hours)}
 
 # Parameters a base is built with; an analysis called with its own value of one
 # must not be handed the base.
-BASE_PARAMETERS = {"daily": {"quad"}, "measures": set(), "codes": set(), "hourly": set()}
+BASE_PARAMETERS = {"daily": {"quad"}}
 
-# Bases staged by a pass over one feed; ``daily`` follows from the measures.
+# Bases staged by a pass over one feed.
 STAGED_BASES = {
     "measures": ("events", event_measures), "codes": ("events", event_codes), "hourly": ("mentions", hourly_mentions),
 }
@@ -262,7 +262,7 @@ def _takes_base(base: str, accepted: Mapping, kwargs: Mapping) -> bool:
 def _wanted_bases(analyses: Sequence, params: Mapping[str, dict]) -> set[str]:
     """The bases that a chosen analysis will be handed."""
     return {
-        base for name, fn, _ in analyses for base in BASE_PARAMETERS
+        base for name, fn, _ in analyses for base in STAGED_BASES
         if _takes_base(base, inspect.signature(fn).parameters, params.get(name, {}))
     }
 
@@ -270,17 +270,12 @@ def _wanted_bases(analyses: Sequence, params: Mapping[str, dict]) -> set[str]:
 def _shared_bases(spark: SparkSession, inputs: Mapping[str, DataFrame | None], wanted: set[str],
                   staging: list[str], parallel: int) -> dict[str, DataFrame]:
     """Stage the wanted bases; a base that fails to build is left to each analysis."""
-    if "daily" in wanted:
-        wanted = wanted | {"measures"}
     jobs = {
         name: (lambda _, b=build, t=table, n=name: {"base": _stage(spark, b(inputs[t]), n, staging)})
         for name, (table, build) in STAGED_BASES.items() if inputs.get(table) is not None and name in wanted
     }
     found = run_concurrently(spark, jobs, parallel)
-    shared = {name: o["base"] for name, o in found.items() if "base" in o}
-    if "daily" in wanted and "measures" in shared:
-        shared["daily"] = daily_of(shared["measures"])
-    return shared
+    return {name: o["base"] for name, o in found.items() if "base" in o}
 
 
 def run_from_tables(

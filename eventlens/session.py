@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,9 +91,36 @@ def stream_checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location, for data a job
-    writes and reads back (never a machine-local temp folder on a cluster)."""
+    writes and reads back (never a machine-local temp folder on a cluster);
+    removed when the application ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/eventlens/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/eventlens/{name}-{uuid.uuid4().hex[:12]}"
+    try:  # lazy results read it until the application ends
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    except AttributeError:  # Spark Connect has no JVM handle
+        pass
+    for made in _made:
+        made.append(path)
+    return path
+
+
+#: Lists of the scratch folders made inside each open ``scratch_scope``.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside, for work whose result is written
+    elsewhere before the end."""
+    paths: list[str] = []
+    _made.append(paths)
+    try:
+        yield
+    finally:
+        _made[:] = [m for m in _made if m is not paths]
+        for path in paths:
+            remove_path(spark, path)
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
