@@ -3,6 +3,9 @@
   ingest   load landed feed files into slot-partitioned tables
            (batch, or --stream for the incremental available-now load)
   analyze  run the nineteen analyses over the tables, write one result each
+           (--partials: read only the files landed since the last run)
+  compact  move old slots of the feed tables (and the batches of partials) into
+           fewer, larger files
   gaps     list the 15-minute slots missing between the first and last loaded one
   migrate  rewrite slot folders written with per-file inferred types into the
            fixed-type layout
@@ -54,6 +57,15 @@ def main(argv: list[str] | None = None) -> int:
     analyze.add_argument("--calendar", action="store_true",
                          help="07/09/13/17 compare with calendar neighbours, not observed ones")
 
+    analyze.add_argument("--partials", help="root of the partial aggregates: an incremental run")
+    analyze.add_argument("--parallel", type=int, default=4, help="analyses run side by side")
+    analyze.add_argument("--time-limit", type=float, help="seconds after which an analysis is given up")
+
+    compact = sub.add_parser("compact", help="fewer, larger files for old slots")
+    compact.add_argument("--tables", help="root of the feed tables")
+    compact.add_argument("--before", help="stamp yyyyMMddHHmmss: slots before it are moved")
+    compact.add_argument("--partials", help="root of partial aggregates whose batches are joined")
+
     gaps = sub.add_parser("gaps", help="missing slots of one feed table")
     gaps.add_argument("--tables", required=True)
     gaps.add_argument("--table", choices=TABLES, default="events")
@@ -100,19 +112,37 @@ def main(argv: list[str] | None = None) -> int:
                 for row in slot_report(lines, table).orderBy("ts").toLocalIterator():
                     print(json.dumps({"table": table, **row.asDict()}))
     elif args.command == "analyze":
+        from eventlens.plans.incremental import run_incremental
         from eventlens.plans.runner import run_from_tables
 
         calendar = ("sentiment_trend", "escalation_events", "tone_lag_analysis", "breaking_news")
-        statuses = run_from_tables(
-            spark, args.tables, args.out, fmt=args.format,
-            write_empty=not args.keep_old_on_empty, share_bases=not args.no_shared_bases,
-            retain_hours=args.retain_hours, now=args.now,
-            params={name: {"calendar": True} for name in calendar} if args.calendar else None,
-        )
+        common = {
+            "fmt": args.format, "write_empty": not args.keep_old_on_empty,
+            "parallel": args.parallel, "time_limit": args.time_limit,
+            "params": {name: {"calendar": True} for name in calendar} if args.calendar else None,
+        }
+        if args.partials:
+            if args.retain_hours or args.no_shared_bases:
+                parser.error("--partials keeps all slots and its own bases")
+            statuses = run_incremental(spark, args.tables, args.partials, args.out, **common)
+        else:
+            statuses = run_from_tables(
+                spark, args.tables, args.out, share_bases=not args.no_shared_bases,
+                retain_hours=args.retain_hours, now=args.now, **common)
         for status in statuses:
             print(json.dumps(status))
         if any(s["status"] == "failed" for s in statuses):
             return 1
+    elif args.command == "compact":
+        from eventlens.plans.incremental import fold_partials
+        from eventlens.sources.tables import compact as compact_table
+
+        if bool(args.tables) != bool(args.before) or not (args.tables or args.partials):
+            parser.error("compact takes --tables with --before, or --partials, or all three")
+        for table in TABLES if args.tables else ():
+            print(json.dumps({"table": table, "parts": compact_table(spark, args.tables, table, args.before)}))
+        if args.partials:
+            fold_partials(spark, args.partials)
     elif args.command == "gaps":
         from eventlens.sources.slots import missing_slots
         from eventlens.sources.tables import load_table

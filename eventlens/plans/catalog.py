@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from eventlens.plans import ingest_queries, oracle_sql, queries, view_queries
+from eventlens.plans import incremental_queries, ingest_queries, oracle_sql, queries, view_queries
 
 
 def query_functions() -> dict:
     out = dict(queries.all_queries())
     out.update(ingest_queries.all_queries())
     out.update(view_queries.all_queries())
+    out.update(incremental_queries.all_queries())
     return out
 
 

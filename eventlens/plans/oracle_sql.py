@@ -243,6 +243,7 @@ _BODIES["ingest_events"] = """
 SELECT *, substr(cast(DATEADDED AS varchar), 1, 8) || '000000' AS ts FROM g_events"""
 
 _BODIES["ingest_stream_events"] = _BODIES["ingest_events"]
+_BODIES["compacted_events"] = _BODIES["ingest_events"]
 
 _BODIES["ingest_mentions"] = """
 SELECT *, substr(cast(MentionTimeDate AS varchar), 1, 8) || '000000' AS ts FROM g_mentions"""
@@ -489,6 +490,9 @@ def view_sql(name: str) -> str:
 
 def all_view_sql() -> dict[str, str]:
     out = {name: view_sql(name) for name in VIEW_FINALS}
+    # An incremental run ends with the result over all rows.
+    for name in ("conflict_heatmap", "escalation_events", "source_diversity_index"):
+        out[f"incremental_{name}"] = analysis_sql(name)
     # The runner's written tables, counted, equal the summary of the analyses.
     out["run_all_summary"] = out["view_result_summary"]
     # The run record holds the same counts, one row per analysis.
