@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.shared import WordMemo, text_bytes
+from eventlens.llm.shared import text_bytes
 
 WINDOW = 2048
 SEPARATOR = 1
 MAX_OPEN = 1024
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
+JOINED = 256  # words of one tokenizer call
+PORTION_BYTES = 1 << 22
 ID_BYTES = 4
 #: ASCII marks that form a pre-token of their own after a letter or digit.
 TAIL_MARKS = b".,!?;:)%$&*#"
@@ -48,6 +51,12 @@ class WordEncoder:
     ids are those of its ASCII-blank-separated words; a run of ASCII marks
     ending a word is likewise a pre-token of its own.  Texts that may hold a
     special token's string are encoded whole.
+
+    The words of a portion of texts that are not remembered are encoded
+    together, joined by blanks, if they are of Latin letters alone: each is then
+    one pre-token, and only its last id is that of a piece ending a word.  Other
+    words are encoded one by one.  At most ``cache_words`` words are remembered,
+    beyond that the memory starts afresh.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -55,23 +64,89 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._bare = WordMemo(self._plain, cache_words)
-        self._words = WordMemo(self._word, cache_words)
+        vocabulary = self._tokenizer.get_vocab()
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        self._ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        if suffix:
+            self._ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
+        self._limit = cache_words
+        self._words: dict[bytes, bytes] = {}
 
     def _plain(self, text: bytes) -> bytes:
         ids = self._tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _word(self, word: bytes) -> bytes:
-        base = word.rstrip(TAIL_MARKS)
-        if len(base) < len(word) and base[-1:].isalnum():
-            return self._bare.one(base) + self._bare.one(word[len(base):])
-        return self._plain(word)
-
-    def encode(self, text: bytes) -> bytes:
-        if b"<|" in text:
-            return self._plain(text)
-        return b"".join(self._words.all(text.lower().split()))
+    def _together(self, words: list[bytes]) -> list[bytes] | None:
+        """Ids of words of letters, from one call; None if they do not add up."""
+        text = b" ".join(words).decode()
+        ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (np.flatnonzero(self._ends[ids]) + 1) * ID_BYTES
+        if len(ends) != len(words) or ends[-1] != len(ids) * ID_BYTES:
+            return None
+        raw, at = ids.tobytes(), 0
+        return [raw[at:(at := end)] for end in ends.tolist()]
+
+    def _learn(self, words: set[bytes]) -> None:
+        known = self._words
+        cut, parts = [], set()
+        for word in words:
+            base = word.rstrip(TAIL_MARKS)
+            if len(base) < len(word) and base[-1:].isalnum():
+                cut.append((word, base, tail := word[len(base):]))
+                parts.add(base)
+                parts.add(tail)
+            else:
+                parts.add(word)
+        simple, other = [], []
+        for part in parts:
+            if part not in known:
+                # Latin letters: their normal and lower-case forms are letters too
+                latin = part.isalpha() or (s := part.decode("utf-8", "replace")).isalpha() and max(s) < "\u0130"
+                (simple if latin else other).append(part)
+        for at in range(0, len(simple), JOINED):
+            joined = simple[at:at + JOINED]
+            known.update(zip(joined, self._together(joined) or map(self._plain, joined), strict=True))
+        for part in other:
+            known[part] = self._plain(part)
+        for word, base, tail in cut:
+            known[word] = known[base] + known[tail]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        split = [None if b"<|" in text else text.lower().split() for text in texts]
+        words = set()
+        for own in split:
+            if own:
+                words.update(own)
+        new = words.difference(self._words)
+        if len(self._words) + len(new) > self._limit:
+            self._words, new = {}, words
+        self._learn(new)
+        ids = self._words.__getitem__
+        return [self._plain(text) if words is None else b"".join(map(ids, words))
+                for text, words in zip(texts, split, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder a Python worker: later tasks go on with its words.  A bare
+    file name is one of the public tokenizers."""
+    if not os.path.dirname(path):
+        import public_tokenizers
+
+        path = public_tokenizers.path(path)
+    return WordEncoder(path)
+
+
+def portions(texts: list[bytes], size: int = PORTION_BYTES) -> Iterator[list[bytes]]:
+    """Consecutive texts of about ``size`` bytes together."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield texts[start:i + 1]
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield texts[start:]
 
 
 class SumOfSquares:
@@ -161,7 +236,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ``ids`` as little-endian unsigned 32-bit binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         end = np.array([separator], dtype="<u4").tobytes()
         base = TaskContext.get().partitionId() << 40
         packer = SumOfSquares(window)
@@ -196,8 +271,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             return batch
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                ids = encoder.encode(text) + end
+            encoded = (ids for texts in portions(text_bytes(batch.column(1))) for ids in encoder.encode_all(texts))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids = ids + end
                 tokens = len(ids) // ID_BYTES
                 whole = tokens // window * window
                 held[n_row] = [doc_id, ids, tokens, 0]

@@ -31,7 +31,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_read(spark, sf_dir, "documents"), f"{TOKENIZERS}/{PACKING_TOKENIZER}")
+    pieces = packing.pack(_read(spark, sf_dir, "documents"), PACKING_TOKENIZER)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
