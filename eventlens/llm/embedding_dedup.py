@@ -8,8 +8,9 @@ pair of leaves whose boxes along the leading axes lie further apart than two
 unit vectors of the threshold's cosine can is never compared.  Within a pair
 of tiles the products of the leading axes are accumulated first, together
 with the product of the suffix norms, which bounds what the other axes can
-add; pairs whose bound stays under the threshold stop there.  The others are
-decided by the cosine of the original vectors in double precision.
+add; pairs whose bound stays under the threshold stop there.  The others go on
+with as many axes again, and again, under a nearer bound each time.  What is
+left is decided by the cosine of the original vectors in double precision.
 
 A tile pair passes on link counts per vector and a spanning forest of its
 links, never its pairs.  The work is quadratic in what the boxes leave, the
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -93,15 +95,29 @@ def units(raw: list[bytes], dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def tile_links(a: np.ndarray, b: np.ndarray, same: bool, lead_a: np.ndarray, lead_b: np.ndarray,
+def block_ends(dim: int, lead: int) -> list[int]:
+    """Where the blocks of axes end: the leading ones, then twice as many each."""
+    ends = [min(lead, dim)]
+    while ends[-1] < dim:
+        ends.append(min(2 * ends[-1], dim))
+    return ends
+
+
+def tile_links(a: np.ndarray, b: np.ndarray, same: bool, axes_a: np.ndarray, axes_b: np.ndarray, lead: int,
                threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked index pairs of two tiles of unit vectors, stripe by stripe."""
+    """Linked index pairs of two tiles of unit vectors, stripe by stripe.
+
+    ``axes_a`` and ``axes_b`` are the vectors on the principal axes.  Products
+    of the leading axes are taken for all pairs; the pairs whose bound reaches
+    the threshold go on block by block, each time with a nearer bound."""
+    ends = block_ends(a.shape[1], lead)
 
-    def bounded(lead):
-        rest = np.sqrt(np.maximum(0, 1 - (lead * lead).sum(axis=1)))
-        return np.column_stack([lead, rest]).astype(np.float32)
+    def suffix_norms(x):
+        return np.stack([np.sqrt((x[:, end:] ** 2).sum(axis=1)) for end in ends], axis=1)
 
-    bound_a, bound_b = bounded(lead_a), bounded(lead_b).T.copy()
+    rest_a, rest_b = suffix_norms(axes_a), suffix_norms(axes_b)
+    bound_a = np.column_stack([axes_a[:, :ends[0]], rest_a[:, 0]]).astype(np.float32)
+    bound_b = np.column_stack([axes_b[:, :ends[0]], rest_b[:, 0]]).astype(np.float32).T.copy()
     for at in range(0, len(a), STRIPE):
         start = at if same else 0
         upper = bound_a[at:at + STRIPE] @ bound_b[:, start:]
@@ -111,6 +127,11 @@ def tile_links(a: np.ndarray, b: np.ndarray, same: bool, lead_a: np.ndarray, lea
             i, j = i[i < j], j[i < j]
         for cut in range(0, len(i), 1 << 16):
             p, q = i[cut:cut + (1 << 16)], j[cut:cut + (1 << 16)]
+            reached = np.einsum("ij,ij->i", axes_a[p, :ends[0]], axes_b[q, :ends[0]])
+            for k, (start_axis, end) in enumerate(pairwise(ends), 1):
+                reached += np.einsum("ij,ij->i", axes_a[p, start_axis:end], axes_b[q, start_axis:end])
+                open_ = reached + rest_a[p, k] * rest_b[q, k] >= threshold - SLACK
+                p, q, reached = p[open_], q[open_], reached[open_]
             hit = np.einsum("ij,ij->i", a[p], b[q]) >= threshold
             if hit.any():
                 yield p[hit], q[hit]
@@ -169,9 +190,9 @@ def _dimension_links(vectors: DataFrame, tiling: Tiling, dim: int, threshold: fl
                 gap = np.maximum(0, np.maximum(lo[x] - hi[y], lo[y] - hi[x]))
                 if (gap * gap).sum() <= reach:
                     near.append((x, y, chunks[x], chunks[y]))
-    pairs = placed.sparkSession.range(1).select(F.inline(F.array(*(
-        F.struct(*(F.lit(v).cast("long").alias(k) for k, v in zip(("x", "y", "nx", "ny"), row, strict=True)))
-        for row in near))))
+    columns = list(zip(*near, strict=True)) or [()] * 4
+    pairs = placed.sparkSession.createDataFrame(  # MAX_LEAVES squared over two at most
+        pa.table({k: pa.array(c, pa.int64()) for k, c in zip(("x", "y", "nx", "ny"), columns, strict=True)}))
     n_chunks = F.create_map(*(F.lit(v) for kv in sorted(chunks.items()) for v in kv))
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("rep", "key"), F.element_at(n_chunks, F.col("leaf"))))
 
@@ -197,13 +218,13 @@ def _dimension_links(vectors: DataFrame, tiling: Tiling, dim: int, threshold: fl
         side = table["side"].to_numpy()
         rep, key, copies = (table[c].to_numpy() for c in ("rep", "key", "copies"))
         unit = units(table["raw"].to_pylist(), dim)
-        lead = tiling.leading(unit)
+        axes = unit @ tiling.axes
         ia = np.flatnonzero(side == 0)
         ib = ia if same else np.flatnonzero(side == 1)
         links = np.zeros(len(rep), dtype=np.int64)
         labels = np.arange(len(rep))
         if len(ia) and len(ib):
-            for p, q in tile_links(unit[ia], unit[ib], same, lead[ia], lead[ib], threshold):
+            for p, q in tile_links(unit[ia], unit[ib], same, axes[ia], axes[ib], tiling.lead, threshold):
                 p, q = ia[p], ib[q]
                 np.add.at(links, p, copies[q])
                 np.add.at(links, q, copies[p])

@@ -13,7 +13,10 @@ at positions i and j leaves at most min(s - i, b - j) shared words (positional
 filter).  Survivors are verified by counting.  Words that no template has can
 match nothing and are left out of the blocks; the templates' word list is
 fixed, so the frequency table has a fixed size and may be sent to all tasks.
-Whole texts go through the length and prefix filters before they are cut.
+Texts are split into words once: what the join needs of them is written to a
+table, the template words that each text holds and, for texts that hold enough
+of one template's, all their words.  Only these are cut into blocks, after the
+length and prefix filters of the whole text.
 
 Besides, the places of fixed license phrases are found in the word sequence.
 
@@ -24,9 +27,13 @@ rows; rows with equal id and text get equal results.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.llm.shared import staged
+
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 BLOCK_WORDS = 64
 BLOCK_STEP = 32
@@ -77,8 +84,9 @@ def template_sets(templates=None) -> list[tuple[str, str, list[str], int]]:
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text, lower case; letters beyond ASCII are word characters."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words of a text, A-Z in lower case; letters beyond ASCII are word characters."""
+    folded = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.regexp_extract_all(folded, F.lit(WORD), F.lit(0))
 
 
 def _base(words: Column) -> dict[str, Column]:
@@ -117,6 +125,20 @@ def _held(words: Column, order: list[str], least: int, heads: list[str]) -> Colu
         F.slice(t, F.lit(1), F.greatest(F.size(t) - (least - 1), F.lit(0))), head))
 
 
+def held_words(words: Column, sets) -> Column:
+    """The template words that a text holds."""
+    vocabulary = sorted({w for s in sets for w in s[2]})
+    return F.array_intersect(F.array(*map(F.lit, vocabulary)), words)
+
+
+def may_match(held: Column, sets) -> Column:
+    """Whether a text holds enough words of a template in all."""
+    enough = F.lit(False)
+    for _, _, words, need in sets:
+        enough = enough | (F.size(F.array_intersect(F.array(*map(F.lit, words)), held)) >= need)
+    return enough
+
+
 def candidate_blocks(rows: DataFrame, order: list[str], least: int, heads: list[str]) -> DataFrame:
     """``__id, __text_hash, __block, __tokens`` of blocks that pass the length
     and prefix filters; texts that fail them as a whole are not cut at all."""
@@ -150,10 +172,12 @@ def block_matches(rows: DataFrame, templates=None) -> DataFrame:
     """``__id, __text_hash, __block, family, label, containment`` of every
     block that meets the threshold; best template of a family only.
 
-    ``rows``: ``__id, __text_hash, __words``."""
+    ``rows``: ``__id, __text_hash``, ``__held`` (see ``held_words``) and
+    ``__words``, which only texts that ``may_match`` need."""
     sets = template_sets(templates)
     vocabulary = sorted({w for s in sets for w in s[2]})
-    held = rows.select(F.explode(F.array_intersect(F.array(*map(F.lit, vocabulary)), F.col("__words"))).alias("w"))
+    held = rows.select(F.explode("__held").alias("w"))
+    rows = rows.where("__words is not null")
     seen = {r["w"]: r["n"] for r in held.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
     index = _template_table(rows.sparkSession, sets, order)
@@ -184,14 +208,18 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col(f"`{id_col}`").alias("__id"), F.xxhash64(F.col(f"`{text_col}`")).alias("__text_hash"),
         words_of(F.col(f"`{text_col}`")).alias("__words"),
     )
+    sets = template_sets()
+    rows = rows.withColumns({**_base(F.col("__words")), "__held": held_words(F.col("__words"), sets)})
+    rows = staged(rows.select(
+        "__id", "__text_hash", F.size("__words").cast("long").alias("n_words"),
+        F.filter("__places", lambda p: p["n"] > 0).alias("__places"), "__held",
+        F.when(may_match(F.col("__held"), sets), F.col("__words")).alias("__words")), "words")
     found = (
         block_matches(rows).groupBy("__id", "__text_hash")
         .agg(F.collect_set("label").alias("__found"), F.max("containment").alias("__best"))
         .select(F.col("__id").alias("m_id"), F.col("__text_hash").alias("m_hash"), "__found", "__best")
     )
-    base = rows.withColumns(_base(F.col("__words"))).select(
-        "__id", "__text_hash", F.size("__words").cast("long").alias("n_words"),
-        F.filter("__places", lambda p: p["n"] > 0).alias("__places"))
+    base = rows.select("__id", "__text_hash", "n_words", "__places")
     joined = base.join(
         found, base["__id"].eqNullSafe(found["m_id"]) & (base["__text_hash"] == found["m_hash"]), "left")
     own = F.array_sort(F.array_distinct(F.transform("__places", lambda p: p["label"])))

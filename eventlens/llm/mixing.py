@@ -18,7 +18,8 @@ the range in which it ends is ordered row by row, so no leaf is sorted whole.
 Tokens are white-space-separated words.  Nulls: null tree columns count as
 ``''``, a null text has no tokens, a null id orders as ``'null'``.  Repeated
 rows are selected one by one.  A leaf without tokens, or of weight 0, yields
-nothing; an empty table an empty result.
+nothing; an empty table an empty result.  Further columns may bear any name;
+those named like the three that are added are replaced.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from eventlens.llm.shared import staged
 MAX_EPOCHS = 4
 SEED = 17
 RANGE_DIGITS = 4
+MIX_COLUMNS = ("mix_epoch", "mix_tokens", "mix_budget")
 
 
 def words_in(text: Column) -> Column:
@@ -95,41 +97,43 @@ def mix(docs: DataFrame, tree: dict[str, Column], total_share: float = 1.0,
     ``tree``: name and expression of each level, from the root down.
     ``total_share``: the budget as a multiple of all tokens of ``docs``.
     """
-    levels = [f"__{name}" for name in tree]
-    named = {f"__{k}": F.coalesce(v.cast("string"), F.lit("")) for k, v in tree.items()}
-    rows = docs.withColumns({**named, "mix_tokens": words_in(F.col(f"`{text_col}`"))})
-    leaves = staged(rows.groupBy(*levels).agg(F.sum("mix_tokens").alias("tokens")), "leaves")
+    # the whole row as one value, so no column of docs can clash with ours
+    levels = [f"level_{i}" for i in range(len(tree))]
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        *(F.coalesce(v.cast("string"), F.lit("")).alias(k) for k, v in zip(levels, tree.values(), strict=True)),
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+        words_in(F.col(f"`{text_col}`")).alias("tokens"),
+    )
+    leaves = staged(rows.groupBy(*levels).agg(F.sum("tokens").alias("tokens")), "leaves")
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
-    plan = leaf_budgets(leaves, levels, total * total_share,
-                        {f"__{k}": v for k, v in (weights or {}).items()}, max_epochs)
+    named = {k: (weights or {}).get(name) for k, name in zip(levels, tree, strict=True)}
+    plan = leaf_budgets(leaves, levels, total * total_share, named, max_epochs)
     plan = staged(plan.select(
-        *levels, F.col("budget").alias("mix_budget"),
-        F.expr("budget div tokens").alias("__whole"), F.expr("budget % tokens").alias("__rest"),
-    ), "plan")
-
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__whole").cast("string"),
-                              F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))))
-    part = F.substring("__order", 1, RANGE_DIGITS)
-    keyed = rows.join(plan, levels).withColumn("__order", order).withColumn("__part", part)
-    sums = keyed.groupBy(*levels, "__part", "__rest").agg(F.sum("mix_tokens").alias("t"))
-    running = Window.partitionBy(*levels).orderBy("__part")
+        *levels, "budget", F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest")), "plan")
+
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"),
+                              F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+    part = F.substring("order", 1, RANGE_DIGITS)
+    keyed = rows.join(plan, levels).withColumn("order", order).withColumn("part", part)
+    sums = keyed.groupBy(*levels, "part", "rest").agg(F.sum("tokens").alias("t"))
+    running = Window.partitionBy(*levels).orderBy("part")
     ends = (
         sums.withColumn("before", F.sum("t").over(running) - F.col("t"))
-        .where("before < __rest").groupBy(*levels)
-        .agg(F.max("__part").alias("__last"), F.max_by("before", "__part").alias("__before"))
+        .where("before < rest").groupBy(*levels)
+        .agg(F.max("part").alias("last"), F.max_by("before", "part").alias("before"))
     )
     ends = staged(ends, "prefixes")
     keyed = keyed.join(ends, levels, "left")
-    sure = F.col("__whole") + F.when(F.col("__part") < F.col("__last"), 1).otherwise(0)
-    whole = keyed.where(sure > 0).withColumn(
-        "mix_epoch", F.explode(F.sequence(F.lit(0), (sure - 1).cast("int"))))
-    ordered = Window.partitionBy(*levels).orderBy("__order", F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).rowsBetween(
+    sure = F.col("whole") + F.when(F.col("part") < F.col("last"), 1).otherwise(0)
+    whole = keyed.where(sure > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), (sure - 1).cast("int"))))
+    ordered = Window.partitionBy(*levels).orderBy("order", "id", "text").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     edge = (
-        keyed.where(F.col("__part") == F.col("__last"))
-        .withColumn("__reached", F.col("__before") + F.sum("mix_tokens").over(ordered) - F.col("mix_tokens"))
-        .where("__reached < __rest").withColumn("mix_epoch", F.col("__whole").cast("int"))
+        keyed.where(F.col("part") == F.col("last"))
+        .withColumn("reached", F.col("before") + F.sum("tokens").over(ordered) - F.col("tokens"))
+        .where("reached < rest").withColumn("epoch", F.col("whole").cast("int"))
     )
-    out = [*(F.col(f"`{c}`") for c in docs.columns if c not in ("mix_epoch", "mix_tokens", "mix_budget")),
-           "mix_epoch", "mix_tokens", "mix_budget"]
+    out = [*(F.col("row")[c].alias(c) for c in docs.columns if c not in MIX_COLUMNS),
+           *(F.col(c).alias(n) for c, n in zip(("epoch", "tokens", "budget"), MIX_COLUMNS, strict=True))]
     return whole.select(*out).unionByName(edge.select(*out))

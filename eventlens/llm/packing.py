@@ -304,5 +304,5 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         if out:
             yield table()
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col)).mapInArrow(
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), F.col(f"`{text_col}`")).mapInArrow(
         run, f"`{id_col}` long, {SCHEMA}")

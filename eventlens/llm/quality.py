@@ -17,8 +17,9 @@ Features are computed in Spark over the whole text of every row; the driver
 holds only the features of two bounded, seeded samples (``MAX_ROWS`` each).
 
 Nulls: a null or empty text has all features 0 and is scored like any other.
-Null ids and repeated rows are scored like others.  Labelled rows with a null
-label are not used; without positives every score is 0.5.
+Null ids and repeated rows are scored like others; of rows sharing an id the
+smallest text is trained on.  Labelled rows with a null label are not used;
+without positives every score is 0.5.
 """
 
 from __future__ import annotations
@@ -153,7 +154,8 @@ def with_features(docs: DataFrame, text_col: str = "text", out: str = "features"
 
 def _sample(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, salt: str, limit: int) -> np.ndarray:
     """Features of at most ``limit`` documents whose ids are in ``rows``."""
-    picked = docs.join(F.broadcast(sampled_ids(rows, id_col, salt, limit)), id_col).dropDuplicates([id_col])
+    picked = docs.join(F.broadcast(sampled_ids(rows, id_col, salt, limit)), id_col)
+    picked = picked.groupBy(id_col).agg(F.min(f"`{text_col}`").alias(text_col))  # of repeated ids the first text
     found = sorted(tuple(r["features"]) for r in with_features(picked.select(text_col), text_col).collect())
     mixed = np.random.default_rng(5).permutation(len(found))
     return np.array(found, dtype=np.float32)[mixed] if found else np.zeros((0, len(MARKS) + 22), np.float32)

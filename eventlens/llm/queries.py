@@ -144,7 +144,7 @@ def _license_sql() -> str:
     size, step = licenses.BLOCK_WORDS, licenses.BLOCK_STEP
     return f"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce("text", '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM documents),
 phrases(p, label) AS (VALUES {phrases}),
 templates(family, label, t, s, o) AS (VALUES {templates}),

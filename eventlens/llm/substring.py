@@ -45,9 +45,7 @@ from eventlens.llm.shared import map_arrow, staged, text_bytes, widened
 MIN_UNITS = 3
 MIN_WORDS = 20
 UNIT_WORDS = 16
-#: Any seed serves; this one cuts the 40-word sentence of the unit test, which
-#: states the places, at 16 and 32.
-CUT_SEED = 458
+CUT_SEED = 0
 _END = re.compile(rb"[.!?]+(?=\s)|\n")
 _WORD = re.compile(rb"\S+")
 

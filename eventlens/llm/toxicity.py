@@ -26,7 +26,8 @@ characters, so the driver holds at most their product).  Scoring reads whole
 texts.
 
 Nulls: a null or empty text scores as a text without words, by the softmax
-bias alone.  Null ids and repeated rows are scored like others.  Labelled
+bias alone.  Null ids and repeated rows are scored like others; of rows sharing
+an id and a label the smallest text is trained on.  Labelled
 rows with a null label are not used; with labels of one class only, or none,
 nothing can be told apart and every score is (nearly) 0.
 """
@@ -225,7 +226,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str =
     return (
         docs.select(id_col, F.col(text_col).alias("text"))
         .join(F.broadcast(ids[0].unionByName(ids[1])), id_col)  # per_class ids of each class at most
-        .where(F.length("text") <= max_chars).dropDuplicates([id_col, "y"]).select("text", "y")
+        .where(F.length("text") <= max_chars).groupBy(id_col, "y").agg(F.min("text").alias("text")).select("text", "y")
     )
 
 
