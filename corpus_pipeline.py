@@ -11,20 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import mixing, packing, queries, simhash, substring, toxicity
-from eventlens.session import scratch_path
+from eventlens.session import remove_path, scratch_path, scratch_scope
 
 TOXIC = 0.5
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under ``TOXIC``; trained on the labels of ``sf_dir``.
 
     A null text counts as empty and stays unless empty texts score as toxic."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     model = toxicity.fit(toxicity.training_rows(docs, labels, "toxic"))
-    scored = toxicity.score(docs, model, out="__toxicity")
+    out = _free("toxicity", docs)
+    scored = toxicity.score(docs, model, out=out)
     empty = F.trim(F.coalesce("text", F.lit(""))) == ""
-    return scored.where((F.col("__toxicity") < TOXIC) | empty).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return scored.where((F.col(out) < TOXIC) | empty).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated sentence runs; ``n_chars`` follows the text."""
-    cut = substring.remove_repeats(docs, removed_col="__removed").drop("__removed")
+    cut = substring.remove_repeats(docs, removed_col=_free("units_removed", docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = F.col("text").isNotNull()
@@ -50,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed windows with their token ids."""
-    return packing.pack(docs, f"{queries.TOKENIZERS}/{queries.PACKING_TOKENIZER}")
+    return packing.pack(docs, queries.PACKING_TOKENIZER)
 
 
 STAGES = [
@@ -66,10 +74,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents`` of ``sf_dir``."""
+    """All stages over ``documents`` of ``sf_dir``.
+
+    What a stage stages for itself, and the stage before it, go once its own
+    output is written."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
