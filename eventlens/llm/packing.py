@@ -34,7 +34,7 @@ from eventlens.llm.shared import text_bytes
 WINDOW = 2048
 SEPARATOR = 1
 MAX_OPEN = 1024
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 JOINED = 256  # words of one tokenizer call
 PORTION_BYTES = 1 << 22
 ID_BYTES = 4
