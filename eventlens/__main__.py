@@ -93,16 +93,18 @@ def main(argv: list[str] | None = None) -> int:
         if args.stream:
             from eventlens.streaming.ingest import ingest_available
 
-            ingest_available(spark, args.landing, args.tables, tables=tables,
-                             checkpoint_root=args.checkpoint, archives=args.archives)
+            totals = ingest_available(spark, args.landing, args.tables, tables=tables,
+                                      checkpoint_root=args.checkpoint, archives=args.archives)
         else:
             from eventlens.sources.ingest import ingest_batch
             from eventlens.sources.slots import due_slots
 
-            for table in tables:
-                ingest_batch(spark, args.landing, args.tables, table, archives=args.archives,
-                             strict=args.strict, slots=due_slots(spark, args.now or utc_now(), args.last_slots)
-                             if args.last_slots else None)
+            totals = {
+                table: ingest_batch(spark, args.landing, args.tables, table, archives=args.archives, strict=args.strict,
+                                    slots=due_slots(spark, args.now or utc_now(), args.last_slots)
+                                    if args.last_slots else None)
+                for table in tables
+            }
         if args.report:
             from eventlens.sources.ingest import landed_lines
             from eventlens.sources.delimited import slot_report
@@ -111,6 +113,8 @@ def main(argv: list[str] | None = None) -> int:
                 lines = landed_lines(spark, args.landing, table, args.archives)
                 for row in slot_report(lines, table).orderBy("ts").toLocalIterator():
                     print(json.dumps({"table": table, **row.asDict()}))
+        for table, counted in totals.items():
+            print(json.dumps({"table": table, **counted}))
     elif args.command == "analyze":
         from eventlens.plans.incremental import run_incremental
         from eventlens.plans.runner import run_from_tables

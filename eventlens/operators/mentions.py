@@ -64,9 +64,12 @@ def escalation_events(
     stages them), whose measured size the planner knows.  Then the events are
     first cut to those ids by a left semi join, which broadcasts the hours
     while they are under the broadcast threshold (events are streamed, not
-    shuffled) and is a sort-merge join beyond it; the left join that follows
-    meets only events of those ids.  Without ``hours`` the plan is the plain
-    left join.  Nothing is written here in either case.
+    shuffled).  Beyond it the join is a sort-merge join, and Spark puts a Bloom
+    filter of the hours' ids (8 MB at most) in front of the events' shuffle, so
+    only events that may match are moved; ``session.BASE_CONF`` sets from which
+    sizes.  The left join that follows meets only events of those ids.  Without
+    ``hours`` the plan is the plain left join.  Nothing is written here in
+    either case.
     """
     if hours is None:
         hot = escalation_hours(mentions, growth, min_mentions, hourly, calendar)
@@ -78,7 +81,9 @@ def escalation_events(
         ).select(*OUTPUT)
     event_keys = events.select("GLOBALEVENTID", COUNTRY, "EventCode")
     if hours is not None:
-        event_keys = event_keys.join(hours.select("GLOBALEVENTID"), "GLOBALEVENTID", "left_semi")
+        # always true; the optimizer builds a Bloom filter only from a side with a condition
+        picked = hours.filter(F.col("hourly_mentions") > 0).select("GLOBALEVENTID")
+        event_keys = event_keys.join(picked, "GLOBALEVENTID", "left_semi")
     return hot.join(event_keys, "GLOBALEVENTID", "left").select(*OUTPUT)
 
 

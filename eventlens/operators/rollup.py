@@ -10,6 +10,7 @@ apart.  ``merge_*`` adds the rows of all passes together.
   04, 05, 08, 10, 14 and 16, as grouping sets.
 * ``mention_hours`` and ``mention_sources``: mentions per event and hour (09,
   17), per event and source (15).
+* ``country_bits`` and ``mentioned_bits``: distinct event ids as bitmaps (15).
 * ``theme_counts`` and ``organization_counts`` (11, 12).
 
 Every pass aggregates map-side before its one shuffle, and a grouping set's
@@ -180,6 +181,38 @@ def merge_sources(sources: DataFrame) -> DataFrame:
     return sources.groupBy("GLOBALEVENTID", "MentionSourceName").agg(F.sum("n_mentions").alias("n_mentions"))
 
 
+def _bits(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``bucket, bits``: the distinct event ids of each group of ``keys`` as
+    bitmaps of 32,768 consecutive ids; bitmaps of several passes merge by OR."""
+    ids = rows.filter(F.col("GLOBALEVENTID").isNotNull()).withColumns({
+        "bucket": F.bitmap_bucket_number("GLOBALEVENTID"), "place": F.bitmap_bit_position("GLOBALEVENTID")})
+    return ids.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+
+def country_bits(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct event ids per action country."""
+    rows = events.filter(F.col(COUNTRY).isNotNull())
+    return _bits(rows.select(*by, "GLOBALEVENTID", F.col(COUNTRY).alias("country_code")), [*by, "country_code"])
+
+
+def mentioned_bits(mentions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct ids of mentioned events."""
+    return _bits(mentions.select(*by, "GLOBALEVENTID"), list(by))
+
+
+def merge_bits(bits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return bits.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_mentioned_events(countries: DataFrame, mentioned: DataFrame) -> DataFrame:
+    """``country_code, unique_events``: distinct events of each country that
+    have a mention.  Both sides are shuffled by bucket, as bitmaps."""
+    pairs = countries.join(mentioned.withColumnRenamed("bits", "other"), "bucket")
+    both = pairs.select("country_code", "bucket", F.explode(F.array("bits", "other")).alias("bits"))
+    met = both.groupBy("country_code", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("n"))
+    return met.groupBy("country_code").agg(F.sum("n").alias("unique_events")).filter("unique_events > 0")
+
+
 def theme_counts(gkg: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Theme occurrences per continent and year; the explode and the partial
     count run in one stage."""

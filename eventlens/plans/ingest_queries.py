@@ -8,6 +8,7 @@
 * ``ingest_stream_<table>``: the same landing files through the streaming
   (available-now) load.
 * ``ingest_archive_events``: the landing lines as zip archives, unpacked and loaded.
+* ``ingest_rejected_events``: lines that cannot be loaded, counted per slot.
 * ``missing_slots``: gap report of 15-minute slots of the events' DATEADDED;
   ``due_slots``: the last slots before the newest loaded one that are not loaded.
 * ``run_record``: the record the runner writes.
@@ -34,6 +35,8 @@ from eventlens.schemas import TABLE_COLUMNS
 from eventlens.session import scratch_path
 from eventlens.sources.archive import unzip_lines
 from eventlens.sources.delimited import parse_lines, read_lines, with_slot
+from eventlens.sources.ingest import load_lines
+from eventlens.sources.quarantine import read_rejected
 from eventlens.sources.slots import due_before_newest, missing_slots, retain_since
 from eventlens.sources.tables import load_table, write_slots
 from eventlens.streaming.ingest import start_ingest
@@ -121,6 +124,23 @@ def ingest_archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_table(spark, tables, "events").select(*_projected_columns("events"), "ts")
 
 
+def ingest_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected lines per slot, from the table and its quarantine;
+    every fiftieth line lands with too many fields."""
+    base = scratch_path(spark, "ingest-rejected")
+    lines = to_lines(fixtures.project(spark, sf_dir, "events"), "events")
+    number = F.substring_index("value", "\t", 1).cast("long")
+    more = F.when(number % 50 == 0, F.concat(F.col("value"), F.lit("\tone\tmore"))).otherwise(F.col("value"))
+    lines.withColumn("value", more).write.partitionBy("slot").text(f"{base}/landing")
+    landed = read_lines(spark, f"{base}/landing", glob="part-*")
+    files = with_slot(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option(
+        "recursiveFileLookup", "true").load(f"{base}/landing").select(F.col("path").alias("source_file")))
+    load_lines(landed, files, f"{base}/tables", "events")
+    accepted = load_table(spark, f"{base}/tables", "events").groupBy("ts").agg(F.count(F.lit(1)).alias("accepted"))
+    rejected = read_rejected(spark, f"{base}/tables", "events").groupBy("ts").agg(F.count(F.lit(1)).alias("rejected"))
+    return accepted.join(rejected, "ts", "full").na.fill(0, ["accepted", "rejected"])
+
+
 def _event_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.project(spark, sf_dir, "events").select(slot_of("events").alias("ts"))
 
@@ -178,6 +198,7 @@ def all_queries() -> dict:
     for t in ("events", "mentions", "gkg"):
         out[f"ingest_stream_{t}"] = (lambda t: lambda spark, sf: ingest_stream(spark, sf, t))(t)
     out["ingest_archive_events"] = ingest_archive_events
+    out["ingest_rejected_events"] = ingest_rejected_events
     out["missing_slots"] = missing_slots_query
     out["due_slots"] = due_slots_query
     out["run_record"] = run_record_query

@@ -244,6 +244,11 @@ SELECT *, substr(cast(DATEADDED AS varchar), 1, 8) || '000000' AS ts FROM g_even
 
 _BODIES["ingest_stream_events"] = _BODIES["ingest_events"]
 _BODIES["compacted_events"] = _BODIES["ingest_events"]
+_BODIES["ingest_rejected_events"] = """
+SELECT substr(cast(DATEADDED AS varchar), 1, 8) || '000000' AS ts,
+       cast(count(*) FILTER (WHERE GLOBALEVENTID % 50 <> 0) AS BIGINT) AS accepted,
+       cast(count(*) FILTER (WHERE GLOBALEVENTID % 50 = 0) AS BIGINT) AS rejected
+FROM g_events GROUP BY 1"""
 
 _BODIES["ingest_mentions"] = """
 SELECT *, substr(cast(MentionTimeDate AS varchar), 1, 8) || '000000' AS ts FROM g_mentions"""

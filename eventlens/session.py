@@ -22,6 +22,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Runtime Bloom filters (operators/mentions.py): from a side of up to 4 GB, in
+    # front of the shuffle of a side that scans 1 GB or more.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     # Analyses run side by side share the executors fairly (plans/runner.py).
     "spark.scheduler.mode": "FAIR",
     # Generated methods above this size (bytes of bytecode) are never compiled

@@ -13,7 +13,7 @@ Everything is a built-in expression; the scan itself is ``spark.read.text``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,15 +56,27 @@ def split_fields(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.filter(F.col(value) != "").withColumn("_fields", F.split(text, "\t", -1))
 
 
-def parse_lines(lines: DataFrame, table: str, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_lines(
+    lines: DataFrame, table: str, value: str = "value", keep: tuple[str, ...] = (),
+    observation: Observation | None = None,
+) -> DataFrame:
     """Typed ``table`` rows from a DataFrame of raw lines.
 
     ``keep`` names extra columns of ``lines`` to carry through (e.g. the
     source file path).  Rows with too many fields are dropped; see
-    ``rejected_lines`` to count them.
+    ``rejected_lines``.  ``observation`` counts them in the same pass: once the
+    rows have been written it holds ``accepted`` and ``rejected`` lines (those of
+    files without a slot stamp included) and ``rejected_files``, the files that
+    have rejected lines.
     """
     names = TABLE_COLUMNS[table]
-    split = split_fields(lines, value).filter(F.size("_fields") <= len(names))
+    split = split_fields(lines, value)
+    if observation is not None:
+        fits = fits_table(table)
+        split = split.observe(
+            observation, F.count_if(fits).alias("accepted"), F.count_if(~fits).alias("rejected"),
+            F.collect_set(F.when(~fits, F.col("source_file"))).alias("rejected_files"))
+    split = split.filter(F.size("_fields") <= len(names))
     cols = [
         coerce(_field(F.get(F.col("_fields"), i)), column_type(table, name)).alias(name)
         for i, name in enumerate(names)
@@ -72,6 +84,11 @@ def parse_lines(lines: DataFrame, table: str, value: str = "value", keep: tuple[
     return split.select(*cols, *keep)
 
 
+def fits_table(table: str) -> Column:
+    """Whether a split line (with ``ts``) can be loaded."""
+    return (F.size("_fields") <= len(TABLE_COLUMNS[table])) & F.col("ts").isNotNull()
+
+
 def rejected_lines(lines: DataFrame, table: str, value: str = "value") -> DataFrame:
     """Lines dropped by ``parse_lines`` for having more fields than the schema."""
     return split_fields(lines, value).filter(F.size("_fields") > len(TABLE_COLUMNS[table])).drop(
@@ -105,8 +122,7 @@ def slot_report(lines: DataFrame, table: str, value: str = "value") -> DataFrame
     (the ingest metric), in one aggregation over the landed lines.  Lines of
     files without a slot stamp (``ts`` NULL) are all rejected: they cannot be
     loaded."""
-    width = len(TABLE_COLUMNS[table])
-    fits = (F.size("_fields") <= width) & F.col("ts").isNotNull()
+    fits = fits_table(table)
     return split_fields(lines, value).groupBy("ts").agg(
         F.count_if(fits).alias("accepted"),
         F.count_if(~fits).alias("rejected"),

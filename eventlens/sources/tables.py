@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,16 +34,18 @@ def with_load_columns(rows: DataFrame) -> DataFrame:
     return rows.withColumn("load_timestamp", F.col("ts"))
 
 
+def file_name(path: str) -> Column:
+    """The last name of a path: ``load_file`` of the rows of a landed file."""
+    return F.regexp_extract(path, r"([^/]+)/*$", 1)
+
+
 def write_slots(rows: DataFrame, table_root: str, table: str) -> None:
     """Write typed rows (with ``ts``) as the slots of one feed table.
 
     ``source_file`` (the landed file's path), where present, names the part of
     the slot that is replaced; without it the rows are the slot's one part."""
     cols = TABLE_COLUMNS[table] + ["load_timestamp", "ts", "load_file"]
-    if "source_file" in rows.columns:
-        name = F.regexp_extract("source_file", r"([^/]+)/*$", 1)
-    else:
-        name = F.lit("slot")
+    name = file_name("source_file") if "source_file" in rows.columns else F.lit("slot")
     (
         with_load_columns(rows)
         .withColumn("load_file", name)
@@ -160,13 +162,18 @@ def compact(spark: SparkSession, table_root: str, table: str, before: str) -> in
         index = index.unionByName(kept.join(old.select(*PART), PART, "left_anti"))
     store.commit(index)
     unchanged = old.join(landed_parts(spark, path), [*PART, "signature"], "left_semi")
-    # the directories as they are named on disk: values in them may be escaped
-    folders = part_files(spark, path).join(unchanged.select(*PART), PART, "left_semi").select(
+    remove_parts(spark, path, unchanged)
+    _remove_empty_slots(spark, path, before)
+    return moved
+
+
+def remove_parts(spark: SparkSession, path: str, parts: DataFrame) -> None:
+    """Delete the directories of landed parts."""
+    # as they are named on disk: values in them may be escaped
+    folders = part_files(spark, path).join(parts.select(*PART), PART, "left_semi").select(
         F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")).distinct()
     for row in folders.toLocalIterator():
         remove_path(spark, row["folder"])
-    _remove_empty_slots(spark, path, before)
-    return moved
 
 
 def _remove_empty_slots(spark: SparkSession, path: str, before: str) -> None:

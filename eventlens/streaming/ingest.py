@@ -21,8 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventlens.session import stream_checkpoint_root
 from eventlens.sources.archive import unzip_lines
 from eventlens.sources.delimited import parse_lines, with_slot
-from eventlens.sources.ingest import FEED_SUFFIXES, TEXT_EXTENSIONS
-from eventlens.sources.tables import write_slots
+from eventlens.sources.ingest import FEED_SUFFIXES, TEXT_EXTENSIONS, load_lines
 
 
 # Files older than this against the newest one seen are ignored by the file
@@ -33,7 +32,7 @@ MAX_FILE_AGE = "36500d"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def stream_rows(
+def stream_lines(
     spark: SparkSession,
     landing: str,
     table: str,
@@ -42,7 +41,7 @@ def stream_rows(
     archives: bool = False,
     max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """Streaming DataFrame of typed rows of one feed, with ``ts``.
+    """Streaming DataFrame of raw lines of one feed, with ``ts`` and ``source_file``.
 
     With ``archives`` the landed files are zip archives (``*<suffix>.zip``):
     each new archive is unpacked inside its task, as in the batch path.
@@ -59,7 +58,13 @@ def stream_rows(
         lines = reader.load(landing).select(
             "value", F.col("_metadata.file_path").alias("source_file")
         )
-    return parse_lines(with_slot(lines), table, keep=("ts", "source_file")).filter("ts IS NOT NULL")
+    return with_slot(lines)
+
+
+def stream_rows(spark: SparkSession, landing: str, table: str, **options) -> DataFrame:
+    """Streaming DataFrame of typed rows of one feed, with ``ts``."""
+    lines = stream_lines(spark, landing, table, **options)
+    return parse_lines(lines, table, keep=("ts", "source_file")).filter("ts IS NOT NULL")
 
 
 def start_ingest(
@@ -73,9 +78,12 @@ def start_ingest(
     glob: str | None = None,
     archives: bool = False,
     max_file_age: str = MAX_FILE_AGE,
+    counts: list[dict] | None = None,
 ) -> StreamingQuery:
     """Start the incremental load of one table.  With ``available_now`` the
-    query processes what has landed and stops (batch-like scheduling)."""
+    query processes what has landed and stops (batch-like scheduling).  Each
+    micro-batch adds its number and its accepted and rejected lines, counted while
+    loading, to ``counts``; rejected lines are kept by ``quarantine``."""
     if checkpoint is None:
         # One checkpoint per (landing, target, table): a stream's record of seen
         # files must never be shared with another source folder.
@@ -83,11 +91,13 @@ def start_ingest(
         checkpoint = f"{stream_checkpoint_root(spark)}/eventlens/ingest/{table}-{tag}"
     location = checkpoint
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        write_slots(batch, table_root, table)
+    def write(batch: DataFrame, epoch: int) -> None:
+        found = load_lines(batch, batch.select("source_file", "ts").distinct(), table_root, table)
+        if counts is not None:
+            counts.append({"batch": epoch, **found})
 
     writer = (
-        stream_rows(spark, landing, table, max_files, glob, archives, max_file_age)
+        stream_lines(spark, landing, table, max_files, glob, archives, max_file_age)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", location)
         .queryName(f"ingest_{table}")
@@ -99,10 +109,15 @@ def start_ingest(
 def ingest_available(
     spark: SparkSession, landing: str, table_root: str, tables=("events", "mentions", "gkg"),
     checkpoint_root: str | None = None, archives: bool = False,
-) -> None:
-    """Run the available-now load of each table to completion."""
+) -> dict[str, dict[str, int]]:
+    """Run the available-now load of each table to completion; accepted and
+    rejected lines per table."""
+    totals = {}
     for table in tables:
         ckpt = f"{checkpoint_root.rstrip('/')}/{table}" if checkpoint_root else None
+        counts: list[dict] = []
         start_ingest(
-            spark, landing, table_root, table, checkpoint=ckpt, archives=archives
+            spark, landing, table_root, table, checkpoint=ckpt, archives=archives, counts=counts
         ).awaitTermination()
+        totals[table] = {k: sum(c[k] for c in counts) for k in ("accepted", "rejected")}
+    return totals
