@@ -5,13 +5,13 @@ network on shape features of whole texts by minimising the non-negative
 unbiased risk  prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]);
 while the second part is negative, its gradient is followed the other way.
 
-The class prior is estimated as the share of 1 among the labelled training
-rows, where both labels occur there (the texts of rows labelled 0 are not
-used).  Where only positives are labelled it is estimated from the two samples:
-a first network told to separate them ranks texts, and the share of unlabelled
-over positive mass above a rank is smallest where only positives are left; that
-smallest ratio (over ranks holding at least ``MIN_MASS`` of the positives) is
-the prior.
+The class prior is a parameter; without one it is estimated from the two
+samples: a first network told to separate them ranks texts, and the share of
+unlabelled over positive mass above a rank is smallest where only positives are
+left; that smallest ratio (over ranks holding at least ``MIN_MASS`` of the
+positives) is the prior.  Where the labelled rows are a random sample of the
+documents, ``labelled_share`` is a nearer estimate; the texts of rows labelled 0
+are not used either way.
 
 Features are computed in Spark over the whole text of every row; the driver
 holds only the features of two bounded, seeded samples (``MAX_ROWS`` each).
@@ -161,20 +161,28 @@ def _sample(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, salt:
     return np.array(found, dtype=np.float32)[mixed] if found else np.zeros((0, len(MARKS) + 22), np.float32)
 
 
+def _known(labels: DataFrame, label: str, id_col: str) -> DataFrame:
+    return labels.where(F.col(label).isin(0, 1) & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
+
+
+def labelled_share(labels: DataFrame, label: str = "quality", id_col: str = "doc_id") -> float | None:
+    """An estimate of the class prior for a random sample of labelled rows: the
+    share of 1 among those that may be learned from; None without any."""
+    return _known(labels, label, id_col).agg(F.avg(F.col(label).cast("double"))).first()[0]
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", prior: float | None = None, limit: int = MAX_ROWS) -> ShapeNet | None:
     """Train; labels are read only from rows whose ``crc32(id as text) mod 5``
     is not 0, and of these only the positives' texts."""
-    known = labels.where(F.col(label).isin(0, 1) & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
-    trusted = known.where(F.col(label) == 1)
+    trusted = _known(labels, label, id_col).where(F.col(label) == 1)
     texts = docs.select(id_col, text_col)
     positive = _sample(trusted, texts, id_col, text_col, "p", limit)
     unlabelled = _sample(texts, texts, id_col, text_col, "u", limit)
     if len(positive) < 2 or len(unlabelled) < 2:
         return None
     if prior is None:
-        share = known.agg(F.avg(F.col(label).cast("double"))).first()[0]
-        prior = share if share < 1 else estimate_prior(positive, unlabelled)
+        prior = estimate_prior(positive, unlabelled)
     net = ShapeNet(positive.shape[1]).fit(positive, unlabelled, prior)
     net.prior = prior
     return net
