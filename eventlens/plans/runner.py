@@ -80,11 +80,13 @@ def load_inputs(
     now: dt.datetime | str | None = None,
 ) -> dict[str, DataFrame | None]:
     """The feed tables; with ``retain_hours`` only slots not older than
-    ``now - retain_hours`` (pruned on the partition column, not deleted)."""
-    tables = {t: load_table(spark, table_root, t) for t in INPUT_COLUMNS}
+    ``now - retain_hours`` (pruned on the partition columns, not deleted)."""
     if retain_hours is None:
-        return tables
+        return {t: load_table(spark, table_root, t) for t in INPUT_COLUMNS}
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    at = dt.datetime.fromisoformat(str(now)) - dt.timedelta(hours=retain_hours)
+    since = at.strftime("%Y%m%d%H%M%S")
+    tables = {t: load_table(spark, table_root, t, since=since) for t in INPUT_COLUMNS}
     return {
         t: None if df is None else retain_since(df, now, hours=retain_hours)
         for t, df in tables.items()

@@ -84,14 +84,20 @@ class PartStore:
         path = f"{self.root}/data/{data_set}/batch={batch}"
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
-    def live(self, schema, data_set: str = "rows", index: DataFrame | None = None) -> DataFrame:
-        """The rows of the parts named by ``index`` (default: the committed one)."""
+    def live(self, schema, data_set: str = "rows", index: DataFrame | None = None,
+             partition_by: tuple[str, ...] = (), where: Column | None = None) -> DataFrame:
+        """The rows of the parts named by ``index`` (default: the committed one).
+        ``partition_by`` are the columns the batches were partitioned by, which a
+        condition ``where`` may use to prune."""
         index = self.index() if index is None else index
         batches = [b for b in children(self.spark, f"{self.root}/data/{data_set}") if b.startswith("batch=")]
         if index is None or not batches:
             return self.spark.createDataFrame([], schema)
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "batch")
-        data = self.spark.read.schema(f"{fields}, batch string").parquet(f"{self.root}/data/{data_set}")
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "batch"]
+        fields += [f"`{name}` string" for name in ("batch", *partition_by)]
+        data = self.spark.read.schema(", ".join(fields)).parquet(f"{self.root}/data/{data_set}")
+        if where is not None:
+            data = data.where(where)
         live = data.join(index.select("batch", *PART), ["batch", *PART], "left_semi")
         return live.select(*(f.name for f in schema))
 

@@ -107,6 +107,7 @@ def table_parts(spark: SparkSession, table_root: str, table: str) -> DataFrame |
 
 def load_table(
     spark: SparkSession, table_root: str, table: str, parts: DataFrame | None = None, keep_part: bool = False,
+    since: str | None = None,
 ) -> DataFrame | None:
     """The typed feed table, or None (with a warning) when it does not exist.
 
@@ -114,7 +115,8 @@ def load_table(
     inference), and keeps ``ts`` a string rather than an inferred number.
     ``parts`` (a written table of ``ts, load_file``) limits the load to those
     parts, directories of other slots are not read; ``keep_part`` adds the
-    column ``load_file``.
+    column ``load_file``.  ``since`` (a slot stamp) says that older slots will be
+    filtered out: compacted days before it are not read.
     """
     path = f"{table_root.rstrip('/')}/{table}"
     store, index = _live_compacted(spark, table_root, table)
@@ -122,7 +124,9 @@ def load_table(
     if path_exists(spark, path):
         sources.append(_landed(spark, table_root, table))
     if index is not None:
-        sources.append(store.live(_schema(table), index=index))
+        # days that are no date are read, as retention keeps stamps that are no time
+        recent = None if since is None else (F.col("day") >= since[:8]) | ~F.col("day").rlike("^[0-9]{8}$")
+        sources.append(store.live(_schema(table), index=index, partition_by=("day",), where=recent))
     if not sources:
         log.warning("no data at %s", path)
         return None
