@@ -23,6 +23,8 @@ starts no centroid.  Rows sharing an id each count; their order among the
 starting vectors is by their bytes.  Ties go to the smaller number.  Fewer
 vectors than centroids: as many centroids; no vector that can start one: no
 rows.  The driver holds the centroids and their sums alone.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

@@ -26,6 +26,8 @@ components are dropped, as are those of another dimension than the commonest
 count; among them the smaller vector (by its bytes) comes first.  Equal
 entries: the lower index.  Fewer vectors than entries: as many entries; no
 vectors: no rows.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

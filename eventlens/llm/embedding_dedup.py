@@ -21,6 +21,8 @@ link with nothing, and vectors of different dimension never link.  A null
 ``vec_id`` keeps its row with null component and not kept; it links with
 nothing.  Ids are expected to be unique: rows sharing one are counted as
 separate vectors, each in the component of its own vector.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

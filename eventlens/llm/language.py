@@ -18,6 +18,9 @@ Nulls: a null text, or one without a letter, is ``und`` with score 0; a null
 language is not learned from.  Texts of equal posterior get the language that
 sorts first.  Null ids and repeated rows are scored like others, and each
 repeated row counts in training.  Without training rows every text is ``und``.
+
+Other columns are kept and may bear any name; one named like an added
+column is replaced.
 """
 
 from __future__ import annotations

@@ -23,6 +23,8 @@ Besides, the places of fixed license phrases are found in the word sequence.
 Only DataFrame functions run here.  Nulls: a null text counts as empty (no
 words, no places, no labels, score 0).  Null ids and repeated rows keep their
 rows; rows with equal id and text get equal results.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

@@ -15,6 +15,8 @@ of ``MAX_OPEN`` open windows, and a lost task is redone from its own input alone
 
 Nulls: a null text is empty and yields one piece holding the separator.  A
 null id or a repeated id is packed like any other row.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

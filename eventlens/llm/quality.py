@@ -20,6 +20,9 @@ Nulls: a null or empty text has all features 0 and is scored like any other.
 Null ids and repeated rows are scored like others; of rows sharing an id the
 smallest text is trained on.  Labelled rows with a null label are not used;
 without positives every score is 0.5.
+
+Other columns are kept and may bear any name; one named like an added
+column is replaced.
 """
 
 from __future__ import annotations

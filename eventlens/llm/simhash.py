@@ -19,6 +19,8 @@ of a word are linked to its smallest one.  This is exact and linear.
 Nulls: a null text counts as empty.  A null id keeps its row and fingerprint,
 its ``component_id`` is null and it links with nothing.  Rows that share an id
 are separate rows under one label.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

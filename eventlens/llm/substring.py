@@ -26,6 +26,9 @@ that AQE splits.
 Nulls: a null text stays null, a row with a null id is returned unchanged and
 takes no part.  Empty texts have no units.  Repeated rows share an id and are
 all kept (exact duplicates of documents are another operator's work).
+
+Other columns are kept and may bear any name; one named like an added
+column is replaced.
 """
 
 from __future__ import annotations

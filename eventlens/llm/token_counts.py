@@ -15,8 +15,14 @@ after another character, a best path never crosses into a mark, so a text's
 path is that of its words; words are remembered.  Scores are multiples of
 1/1024, whose sums are exact, so word-wise and whole-text sums are equal.
 
+No public unigram file is at hand: ``unigram_vocabulary`` takes the pieces of a
+public BPE file, with scores made from their ranks.
+
 Nulls: a null or empty text has 0 pieces and score 0.  Null ids and repeated
 rows are counted like others.
+
+Other columns are kept and may bear any name; one named like an added
+column is replaced.
 """
 
 from __future__ import annotations

@@ -21,6 +21,8 @@ null id, take no part; of vectors of another dimension than the query's none
 is a candidate.  Empty vectors score 0.  Rows sharing the query's id are left
 out for it; other repeated rows each count.  Values whose scores cannot be
 held in a long raise an error.
+
+Other columns are not read and may bear any name.
 """
 
 from __future__ import annotations

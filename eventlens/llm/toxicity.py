@@ -30,6 +30,9 @@ bias alone.  Null ids and repeated rows are scored like others; of rows sharing
 an id and a label the smallest text is trained on.  Labelled
 rows with a null label are not used; with labels of one class only, or none,
 nothing can be told apart and every score is (nearly) 0.
+
+Other columns are kept and may bear any name; one named like an added
+column is replaced.
 """
 
 from __future__ import annotations
