@@ -1,20 +1,26 @@
-"""SimHash near-duplicates: positional byte index, count filter, bit check.
+"""SimHash near-duplicates: byte-position inverted index, count filter, bit check.
 
 A 64-bit fingerprint has eight bytes.  Two fingerprints that differ in at
-most four bits share at least four of the eight positional bytes, so they
-agree on one whole member of a family of byte-position triples in which every
-four positions contain a triple (twenty triples suffice for eight positions).
-Each distinct fingerprint is posted under its twenty triples; the pairs of a
-posting are tallied by positional bytes, pairs with fewer than four shared
-bytes are dropped, the rest is verified by differing bits.  A posting passes
-on a spanning forest of its links, never its pairs.
-
-A posting with more distinct fingerprints than ``hot_posting`` is not
-compared pairwise.  Two members differ in at most four bits exactly if some
-64-bit word lies within two bits of both (on the way from one to the other),
-and that word keeps the posting's three bytes; so each member is listed under
-the 821 words within two bits of it in the other forty bits, and the members
-of a word are linked to its smallest one.  This is exact and linear.
+most four bits share at least four of the eight positional bytes: the
+guaranteed minimum.  The index lists each distinct fingerprint under its bytes
+by position; as the first of four shared positions is one of the first five,
+five postings a fingerprint suffice.  The pairs of a posting are tallied by
+shared positional bytes, pairs with fewer than four are dropped, the rest is
+verified by differing bits.  A posting passes on a spanning forest of its
+links, never its pairs.
+
+A posting of one byte holds a 256th of all fingerprints, and its pairs grow
+with the square of their number.  So a posting of more than ``split_above``
+fingerprints is split by the next shared position: its members are listed
+under the (position, byte) pairs that follow, up to the four bytes which any
+linked pair shares.  However many fingerprints there are, each meets at most
+``split_above`` others in a posting that can still be split.
+
+Only fingerprints of which more than ``dense`` agree in four bytes are left:
+large clusters of close ones.  Two differ in at most four bits exactly if some
+64-bit word lies within two bits of both, so each is listed under the 2,081
+words within two bits of it, and those under a word are linked to its smallest
+one.  This is exact, and linear in the number of such fingerprints.
 
 Nulls: a null text counts as empty.  A null id keeps its row and fingerprint,
 its ``component_id`` is null and it links with nothing.  Rows that share an id
@@ -41,22 +47,23 @@ BYTES = 8
 MAX_BITS = 4
 SHINGLE_WORDS = 4
 SEED = 42
-HOT_POSTING = 4096
+#: Bytes that any two linked fingerprints share.
+SHARED = BYTES - MAX_BITS
+SPLIT_ABOVE = 64
+DENSE = 4096
 PAIRS_AT_ONCE = 1 << 20
 
 
-def position_triples(n: int = BYTES) -> list[tuple[int, int, int]]:
-    """Triples of ``n`` positions such that any four positions contain one:
-    three groups in a ring, triples inside a group or two and one of the next."""
-    group = [i * 3 // n for i in range(n)]
-    wanted = []
-    for triple in combinations(range(n), 3):
-        counts = [sum(group[i] == g for i in triple) for g in range(3)]
-        inside = 3 in counts
-        forward = any(counts[g] == 2 and counts[(g + 1) % 3] == 1 for g in range(3))
-        if inside or forward:
-            wanted.append(triple)
-    return wanted
+def shared_positions(depth: int) -> list[tuple[int, ...]]:
+    """What the first ``depth`` of a pair's ``SHARED`` or more shared byte
+    positions can be."""
+    return list(combinations(range(BYTES - SHARED + depth), depth))
+
+
+def _byte_mask(positions: tuple[int, ...]) -> int:
+    """A signed 64-bit mask of the bytes at ``positions``, the first byte highest."""
+    mask = sum(255 << 8 * (BYTES - 1 - i) for i in positions)
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
 def simhash(text: bytes, width: int = SHINGLE_WORDS) -> int:
@@ -97,18 +104,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, f"`{id_col}` long, fp long")
 
 
-def _postings(reps: DataFrame) -> DataFrame:
-    """``posting, fp, rep``: each fingerprint under its byte triples."""
-
-    def byte(i: int):
-        return F.shiftrightunsigned("fp", 8 * (BYTES - 1 - i)).bitwiseAND(F.lit(255))
-
-    keys = [
-        F.lit(k << 24)
-        .bitwiseOR(F.shiftleft(byte(a), 16)).bitwiseOR(F.shiftleft(byte(b), 8)).bitwiseOR(byte(c))
-        for k, (a, b, c) in enumerate(position_triples())
-    ]
-    return reps.select(F.explode(F.array(*keys)).alias("posting"), "fp", "rep")
+def _postings(reps: DataFrame, depth: int) -> DataFrame:
+    """``part, word, parent_part, parent_word, fp, rep``: each fingerprint under
+    its bytes at ``depth`` positions (``part`` says which, ``word`` holds the
+    bytes), with the posting of one position less that this one splits."""
+    parents = {p: i for i, p in enumerate(shared_positions(depth - 1))}
+    lists = F.array(*(
+        F.struct(F.lit(i).alias("part"), F.lit(_byte_mask(p)).cast("long").alias("mask"),
+                 F.lit(parents[p[:-1]]).alias("parent"), F.lit(_byte_mask(p[:-1])).cast("long").alias("above"))
+        for i, p in enumerate(shared_positions(depth))))
+    return reps.select("fp", "rep", F.explode(lists).alias("at")).select(
+        F.col("at.part").alias("part"), F.col("fp").bitwiseAND(F.col("at.mask")).alias("word"),
+        F.col("at.parent").alias("parent_part"), F.col("fp").bitwiseAND(F.col("at.above")).alias("parent_word"),
+        "fp", "rep")
 
 
 def _linked(fp_a: np.ndarray, fp_b: np.ndarray) -> np.ndarray:
@@ -120,10 +128,10 @@ def _linked(fp_a: np.ndarray, fp_b: np.ndarray) -> np.ndarray:
     return close
 
 
-def _forest(posting: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    """Labels over rows sorted by posting: smallest row linked within a posting."""
-    n = len(posting)
-    first = np.r_[True, posting[1:] != posting[:-1]]
+def _forest(first: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """Labels over rows sorted by posting, ``first`` marking where one begins:
+    smallest row linked within a posting."""
+    n = len(first)
     start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     size = np.diff(np.r_[np.flatnonzero(first), n])
     end = start + size[np.cumsum(first) - 1]
@@ -152,84 +160,83 @@ def _posting_links(postings: DataFrame) -> DataFrame:
     """``a, b``: spanning links of every (bounded) posting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(posting, fp, rep):
-            labels = _forest(posting, fp)
+        def links(first, fp, rep):
+            labels = _forest(first, fp)
             moved = np.flatnonzero(labels != np.arange(len(labels)))
             return pa.RecordBatch.from_arrays(
                 [pa.array(rep[moved]), pa.array(rep[labels[moved]])], names=["a", "b"])
 
-        held: list[np.ndarray] | None = None
+        held = None
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            cols[1] = cols[1].view(np.uint64)
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            if not len(cols[0]):
+            part, word, fp, rep = cols
+            if not len(part):
                 continue
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            first = np.r_[True, (part[1:] != part[:-1]) | (word[1:] != word[:-1])]
+            cut = int(np.flatnonzero(first)[-1])  # the last posting may go on
             held = [c[cut:] for c in cols]
             if cut:
-                yield links(*(c[:cut] for c in cols))
-        if held is not None and len(held[0]):
-            yield links(*held)
+                yield links(first[:cut], fp[:cut].view(np.uint64), rep[:cut])
+        if held is not None:
+            yield links(np.arange(len(held[0])) == 0, held[2].view(np.uint64), held[3])
 
-    rows = postings.repartition("posting").sortWithinPartitions("posting")
-    return rows.select("posting", "fp", "rep").mapInArrow(run, "a long, b long")
+    rows = postings.select("part", "word", "fp", "rep").repartition("part", "word")
+    return rows.sortWithinPartitions("part", "word").mapInArrow(run, "a long, b long")
 
 
-def _hot_links(hot: DataFrame) -> DataFrame:
-    """``a, b``: links of postings too large for pairs, through the words
-    within two bits of a fingerprint in the bytes the posting leaves free."""
-    masks = []
-    for triple in position_triples():
-        free = [1 << (BITS - 1 - bit) for bit in range(BITS) if bit // 8 not in triple]
-        flips = [0, *free, *(x | y for x, y in combinations(free, 2))]
-        masks.append(np.array(flips, dtype=np.uint64))
+def _dense_links(dense: DataFrame) -> DataFrame:
+    """``a, b``: links among fingerprints ``fp``, through the words within two
+    bits of each."""
+    bits = [1 << b for b in range(BITS)]
+    flips = np.array([0, *bits, *(x | y for x, y in combinations(bits, 2))], dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                posting, fp, rep = (
-                    c.to_numpy(zero_copy_only=False) for c in batch.slice(at, 512).columns)
-                flips = np.stack([masks[k] for k in (posting >> 24)])
-                word = (fp.view(np.uint64)[:, None] ^ flips).ravel().view(np.int64)
-                width = flips.shape[1]
+            for at in range(0, batch.num_rows, 256):
+                fp, rep = (c.to_numpy(zero_copy_only=False) for c in batch.slice(at, 256).columns)
+                words = (fp.view(np.uint64)[:, None] ^ flips).ravel().view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(posting, width)), pa.array(word), pa.array(np.repeat(rep, width))],
-                    names=["posting", "word", "rep"])
+                    [pa.array(words), pa.array(np.repeat(rep, len(flips)))], names=["word", "rep"])
 
-    words = hot.select("posting", "fp", "rep").mapInArrow(run, "posting long, word long, rep long")
+    words = dense.select("fp", "rep").mapInArrow(run, "word long, rep long")
     low = (
-        words.groupBy("posting", "word").agg(F.min("rep").alias("b"), F.max("rep").alias("top"))
-        .where("b <> top").select("posting", "word", "b")
-    )
-    return (
-        words.join(low, ["posting", "word"]).where("rep <> b")
-        .select(F.col("rep").alias("a"), "b").distinct()
+        words.groupBy("word").agg(F.min("rep").alias("b"), F.max("rep").alias("top"))
+        .where("b <> top").select("word", "b")
     )
+    return words.join(low, "word").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
 
 
-def fingerprint_links(reps: DataFrame, hot_posting: int = HOT_POSTING) -> DataFrame:
+def fingerprint_links(reps: DataFrame, split_above: int = SPLIT_ABOVE, dense: int = DENSE) -> DataFrame:
     """``a, b``: links that connect the ids ``rep`` of distinct fingerprints
     ``fp`` exactly as all pairs within ``MAX_BITS`` bits would."""
-    postings = _postings(reps)
-    sizes = postings.groupBy("posting").count()
-    shared = sizes.where(F.col("count").between(2, hot_posting)).select("posting")
-    hot = sizes.where(F.col("count") > hot_posting).select("posting")
-    return _posting_links(postings.join(shared, "posting", "left_semi")).unionByName(
-        _hot_links(postings.join(hot, "posting", "left_semi"))
-    )
+    links, large = None, None
+    for depth in range(1, SHARED + 1):
+        postings = _postings(reps, depth)
+        if large is not None:
+            above = large.select(F.col("part").alias("parent_part"), F.col("word").alias("parent_word"))
+            postings = postings.join(above, ["parent_part", "parent_word"], "left_semi")
+        limit = split_above if depth < SHARED else dense
+        sizes = postings.groupBy("part", "word").count()
+        large = staged(sizes.where(F.col("count") > limit).select("part", "word"), "large-postings")
+        found = _posting_links(postings.join(large, ["part", "word"], "left_anti"))
+        links = found if links is None else links.unionByName(found)
+        if large.isEmpty():
+            return links
+    clusters = postings.join(large, ["part", "word"], "left_semi").select("fp", "rep").distinct()
+    return links.unionByName(_dense_links(clusters))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       width: int = SHINGLE_WORDS, hot_posting: int = HOT_POSTING) -> DataFrame:
+                       width: int = SHINGLE_WORDS, **index) -> DataFrame:
     """``id_col, fingerprint`` (16 hex digits) and ``component_id``, the
     smallest id reachable over links of at most ``MAX_BITS`` bits; one row per
-    input row."""
+    input row.  ``index``: options of ``fingerprint_links``."""
     fps = staged(fingerprints(docs, id_col, text_col, width), "fingerprints")
     reps = staged(
         fps.where(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).alias("rep")), "reps")
-    groups = components(fingerprint_links(reps, hot_posting))
+    groups = components(fingerprint_links(reps, **index))
     named = (
         reps.join(groups, reps["rep"] == groups["node"], "left")
         .select("fp", F.coalesce("component", "rep").alias("component_id"))
