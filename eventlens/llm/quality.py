@@ -5,13 +5,13 @@ network on shape features of whole texts by minimising the non-negative
 unbiased risk  prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]);
 while the second part is negative, its gradient is followed the other way.
 
-The class prior is a parameter; without one it is estimated from the two
-samples: a first network told to separate them ranks texts, and the share of
-unlabelled over positive mass above a rank is smallest where only positives are
-left; that smallest ratio (over ranks holding at least ``MIN_MASS`` of the
-positives) is the prior.  Where the labelled rows are a random sample of the
-documents, ``labelled_share`` is a nearer estimate; the texts of rows labelled 0
-are not used either way.
+The class prior is estimated from the two samples, or given as a parameter.
+Networks told to separate positives from unlabelled texts rank every row, each
+row by a network that did not see it (``FOLDS`` folds).  Above a rank, the
+share of unlabelled over positive mass is lowest where only positives are
+left: at the rank (holding at least ``MIN_MASS`` of the positives) whose upper
+confidence bound on that ratio is lowest, the ratio is the prior.  Rows
+labelled 0 have no part in it.
 
 Features are computed in Spark over the whole text of every row; the driver
 holds only the features of two bounded, seeded samples (``MAX_ROWS`` each).
@@ -40,6 +40,7 @@ from eventlens.llm.shared import map_arrow, sampled_ids, text_bytes, widened
 
 MAX_ROWS = 6000
 MIN_MASS = 0.1
+FOLDS = 5
 HIDDEN = 16
 STEPS = 600
 #: Bytes counted one by one.
@@ -125,18 +126,22 @@ class ShapeNet:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled: smallest ratio of unlabelled
-    to positive mass above a score, with two standard errors of slack.
-
-    Ranked by a network fitted on every other row and counted on the rest."""
-    net = ShapeNet(positive.shape[1]).fit(positive[::2], unlabelled[::2], None)
-    p, u = np.sort(net.margin(positive[1::2])), np.sort(net.margin(unlabelled[1::2]))
+    """Share of positives among the unlabelled: the ratio of unlabelled to
+    positive mass above the score where it is surely smallest, by two standard
+    errors.  Every row is scored by a network fitted without its fold."""
+    p, u = np.empty(len(positive)), np.empty(len(unlabelled))
+    for fold in range(FOLDS):
+        own_p, own_u = np.arange(len(p)) % FOLDS == fold, np.arange(len(u)) % FOLDS == fold
+        net = ShapeNet(positive.shape[1]).fit(positive[~own_p], unlabelled[~own_u], None)
+        p[own_p], u[own_u] = net.margin(positive[own_p]), net.margin(unlabelled[own_u])
+    p.sort()
+    u.sort()
     at = np.quantile(p, np.linspace(0, 1 - MIN_MASS, 200))
     above_p = 1 - np.searchsorted(p, at) / len(p)
     above_u = 1 - np.searchsorted(u, at) / len(u)
     error = np.sqrt(above_u * (1 - above_u) / len(u)) + np.sqrt(above_p * (1 - above_p) / len(p))
-    ratio = (above_u + 2 * error) / np.maximum(above_p, 1e-9)
-    return float(np.clip(ratio.min(), 0.05, 0.98))
+    best = np.argmin((above_u + 2 * error) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.05, 0.98))
 
 
 def with_features(docs: DataFrame, text_col: str = "text", out: str = "features") -> DataFrame:
@@ -164,21 +169,11 @@ def _sample(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, salt:
     return np.array(found, dtype=np.float32)[mixed] if found else np.zeros((0, len(MARKS) + 22), np.float32)
 
 
-def _known(labels: DataFrame, label: str, id_col: str) -> DataFrame:
-    return labels.where(F.col(label).isin(0, 1) & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
-
-
-def labelled_share(labels: DataFrame, label: str = "quality", id_col: str = "doc_id") -> float | None:
-    """An estimate of the class prior for a random sample of labelled rows: the
-    share of 1 among those that may be learned from; None without any."""
-    return _known(labels, label, id_col).agg(F.avg(F.col(label).cast("double"))).first()[0]
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", prior: float | None = None, limit: int = MAX_ROWS) -> ShapeNet | None:
     """Train; labels are read only from rows whose ``crc32(id as text) mod 5``
     is not 0, and of these only the positives' texts."""
-    trusted = _known(labels, label, id_col).where(F.col(label) == 1)
+    trusted = labels.where((F.col(label) == 1) & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
     texts = docs.select(id_col, text_col)
     positive = _sample(trusted, texts, id_col, text_col, "p", limit)
     unlabelled = _sample(texts, texts, id_col, text_col, "u", limit)
