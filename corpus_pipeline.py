@@ -14,6 +14,8 @@ from eventlens.llm import mixing, packing, queries, simhash, substring, toxicity
 from eventlens.session import remove_path, scratch_path, scratch_scope
 
 TOXIC = 0.5
+#: Bytes of an Arrow batch of texts, where the session names no bound of its own.
+BATCH_BYTES = 4 << 20
 
 
 def _free(name: str, docs: DataFrame) -> str:
@@ -23,10 +25,22 @@ def _free(name: str, docs: DataFrame) -> str:
     return name
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch outgrow ``BATCH_BYTES`` by more than a row.
+
+    The rows of a batch are bounded by default, their bytes hardly; both the
+    executor and its Python workers hold whole batches.  The stages' results are
+    lazy, so the setting stays with the session."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under ``TOXIC``; trained on the labels of ``sf_dir``.
 
     A null text counts as empty and stays unless empty texts score as toxic."""
+    _bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     model = toxicity.fit(toxicity.training_rows(docs, labels, "toxic"))
     out = _free("toxicity", docs)
@@ -37,11 +51,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The leading document of every SimHash group."""
+    _bound_batches(spark)
     return simhash.keep_one_per_group(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated sentence runs; ``n_chars`` follows the text."""
+    _bound_batches(spark)
     cut = substring.remove_repeats(docs, removed_col=_free("units_removed", docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -58,6 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed windows with their token ids."""
+    _bound_batches(spark)
     return packing.pack(docs, queries.PACKING_TOKENIZER)
 
 
