@@ -27,9 +27,13 @@ from eventlens.sources.tables import compact, load_table, write_slots
 INCREMENTAL = ("conflict_heatmap", "escalation_events", "source_diversity_index")
 
 
-def deliver(spark: SparkSession, sf_dir: str, tables: str, feed: str, first: bool) -> None:
-    """The first or the second delivery of a feed."""
-    lines = write_and_read(to_lines(fixtures.project(spark, sf_dir, feed), feed), scratch_path(spark, f"landing-{feed}"))
+def landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """The lines of a feed, written once for both of its deliveries."""
+    return write_and_read(to_lines(fixtures.project(spark, sf_dir, feed), feed), scratch_path(spark, f"landing-{feed}"))
+
+
+def deliver(lines: DataFrame, tables: str, feed: str, first: bool) -> None:
+    """The first or the second delivery of a feed's landed lines."""
     third = F.substring("slot", 7, 2).cast("int") % 3  # by day of the month
     if first:  # whole; cut short; absent
         lines = lines.where((third == 0) | ((third == 1) & (F.pmod(F.xxhash64("value"), F.lit(2)) == 0)))
@@ -45,9 +49,10 @@ def incremental_result(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
     tables, partials, out = (f"{base}/{d}" for d in ("tables", "partials", "out"))
     chosen = [a for a in ANALYSES if a[0] == name]
     feeds = [f for f in PARTIALS if f == "events" or f in chosen[0][2]]
+    lines = {feed: landed(spark, sf_dir, feed) for feed in feeds}
     for first in (True, False):
         for feed in feeds:
-            deliver(spark, sf_dir, tables, feed, first)
+            deliver(lines[feed], tables, feed, first)
         statuses = run_incremental(spark, tables, partials, out, analyses=chosen)
         if statuses[0]["status"] == "failed":
             raise RuntimeError(f"analysis failed: {statuses}")
@@ -56,11 +61,12 @@ def incremental_result(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
 
 def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = f"{scratch_path(spark, 'compacted')}/tables"
-    deliver(spark, sf_dir, tables, "events", first=True)
+    lines = landed(spark, sf_dir, "events")
+    deliver(lines, tables, "events", first=True)
     newest = load_table(spark, tables, "events").agg(F.max("ts")).first()[0]
     if newest:
         compact(spark, tables, "events", before=newest)
-    deliver(spark, sf_dir, tables, "events", first=False)
+    deliver(lines, tables, "events", first=False)
     return load_table(spark, tables, "events").select(*_projected_columns("events"), "ts")
 
 

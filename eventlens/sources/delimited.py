@@ -31,8 +31,14 @@ def _valid_text(c: Column) -> Column:
     return F.make_valid_utf8(c) if hasattr(F, "make_valid_utf8") else c
 
 
-def _field(c: Column) -> Column:
-    return F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
+def _fields(fields: str) -> Column:
+    """Raw fields with missing-value tokens as NULL.
+
+    As a function over the array it also keeps the projection of the typed columns
+    out of whole-stage code: one method for 16 to 61 columns exceeds the 8000 bytes
+    of bytecode above which the JVM interprets it for every row.  Outside of it
+    Spark splits the projection into small methods and evaluates the array once."""
+    return F.transform(fields, lambda c: F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c))
 
 
 def coerce(c: Column, data_type: T.DataType) -> Column:
@@ -76,9 +82,11 @@ def parse_lines(
         split = split.observe(
             observation, F.count_if(fits).alias("accepted"), F.count_if(~fits).alias("rejected"),
             F.collect_set(F.when(~fits, F.col("source_file"))).alias("rejected_files"))
-    split = split.filter(F.size("_fields") <= len(names))
+    # at most len(names) fields, told from the line: a filter on the fields would split each line once more
+    split = split.filter(F.substring_index(value, "\t", len(names)) == F.col(value))
+    fields = _fields("_fields")
     cols = [
-        coerce(_field(F.get(F.col("_fields"), i)), column_type(table, name)).alias(name)
+        coerce(F.get(fields, i), column_type(table, name)).alias(name)
         for i, name in enumerate(names)
     ]
     return split.select(*cols, *keep)
@@ -108,8 +116,8 @@ def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = N
 
 def with_slot(lines: DataFrame, path_col: str = "source_file") -> DataFrame:
     """``ts`` = the last 14-digit run in the file path (file name or folder), NULL if none."""
-    stamp = F.regexp_extract(F.col(path_col), r"^.*" + SLOT_PATTERN, 1)
-    return lines.withColumn("ts", F.when(stamp != "", stamp))
+    # the first run from the end: searching for the last one backtracks through each row's path
+    return lines.withColumn("ts", F.reverse(F.regexp_substr(F.reverse(path_col), F.lit(SLOT_PATTERN))))
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], table: str, glob: str | None = None) -> DataFrame:

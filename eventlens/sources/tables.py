@@ -36,7 +36,7 @@ def with_load_columns(rows: DataFrame) -> DataFrame:
 
 def file_name(path: str) -> Column:
     """The last name of a path: ``load_file`` of the rows of a landed file."""
-    return F.regexp_extract(path, r"([^/]+)/*$", 1)
+    return F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
 
 
 def write_slots(rows: DataFrame, table_root: str, table: str) -> None:
