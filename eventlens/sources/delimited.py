@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 from eventlens.functions.maps import NA_TOKENS
 from eventlens.schemas import TABLE_COLUMNS, column_type
 
-SLOT_PATTERN = r"(\d{14})"
-
 # What counts as a number; Spark's own cast also takes Java forms such as 12d.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
@@ -31,14 +29,33 @@ def _valid_text(c: Column) -> Column:
     return F.make_valid_utf8(c) if hasattr(F, "make_valid_utf8") else c
 
 
-def _fields(fields: str) -> Column:
-    """Raw fields with missing-value tokens as NULL.
+def _texts(fields: str, table: str) -> Column:
+    """Raw fields of the text columns, in their order, with missing-value tokens as NULL.
+
+    Only these are compared with the tokens: none of the tokens is a number, so
+    ``coerce`` makes them NULL by itself.  As a function over an array it also keeps
+    the projection of the typed columns out of whole-stage code: one method for 16 to
+    61 columns exceeds the 8000 bytes of bytecode above which the JVM interprets it
+    for every row.  Outside of it Spark splits the projection into small methods and
+    evaluates the array once."""
+    texts = F.array(*(F.get(F.col(fields), i) for i in _text_places(table)))
+    return F.transform(texts, lambda c: F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c))
+
+
+def _text_places(table: str) -> list[int]:
+    return [i for i, name in enumerate(TABLE_COLUMNS[table]) if isinstance(column_type(table, name), T.StringType)]
+
+
+def _typed(fields: str, table: str) -> list[Column]:
+    """The columns of ``table`` from its raw fields."""
+    texts, places = _texts(fields, table), _text_places(table)
+
+    def column(i: int, name: str) -> Column:
+        if i in places:
+            return F.get(texts, places.index(i))
+        return coerce(F.get(F.col(fields), i), column_type(table, name))
 
-    As a function over the array it also keeps the projection of the typed columns
-    out of whole-stage code: one method for 16 to 61 columns exceeds the 8000 bytes
-    of bytecode above which the JVM interprets it for every row.  Outside of it
-    Spark splits the projection into small methods and evaluates the array once."""
-    return F.transform(fields, lambda c: F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c))
+    return [column(i, name).alias(name) for i, name in enumerate(TABLE_COLUMNS[table])]
 
 
 def coerce(c: Column, data_type: T.DataType) -> Column:
@@ -47,12 +64,14 @@ def coerce(c: Column, data_type: T.DataType) -> Column:
     An integer column also accepts a whole number written with a point
     ("12.0"); a fractional value there is NULL rather than silently cut.
     """
+    # most fields are empty: no search in them, and no cast that fails, which costs an exception each
+    number = (c != "") & c.rlike(NUMBER_PATTERN)
     if isinstance(data_type, T.LongType):
-        as_double = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
+        as_double = F.when(number, c.try_cast("double"))
         whole = F.when(as_double == F.round(as_double, 0), as_double.try_cast("bigint"))
-        return F.coalesce(c.try_cast("bigint"), whole)
+        return F.coalesce(F.when((c != "") & ~c.contains("."), c.try_cast("bigint")), whole)
     if isinstance(data_type, T.DoubleType):
-        return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
+        return F.when(number, c.try_cast("double"))
     return c
 
 
@@ -84,12 +103,7 @@ def parse_lines(
             F.collect_set(F.when(~fits, F.col("source_file"))).alias("rejected_files"))
     # at most len(names) fields, told from the line: a filter on the fields would split each line once more
     split = split.filter(F.substring_index(value, "\t", len(names)) == F.col(value))
-    fields = _fields("_fields")
-    cols = [
-        coerce(F.get(fields, i), column_type(table, name)).alias(name)
-        for i, name in enumerate(names)
-    ]
-    return split.select(*cols, *keep)
+    return split.select(*_typed("_fields", table), *keep)
 
 
 def fits_table(table: str) -> Column:
@@ -116,8 +130,9 @@ def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = N
 
 def with_slot(lines: DataFrame, path_col: str = "source_file") -> DataFrame:
     """``ts`` = the last 14-digit run in the file path (file name or folder), NULL if none."""
-    # the first run from the end: searching for the last one backtracks through each row's path
-    return lines.withColumn("ts", F.reverse(F.regexp_substr(F.reverse(path_col), F.lit(SLOT_PATTERN))))
+    # the run that none follows, in one search forward: reversing each row's path costs as much as the search
+    last = r"(?s)\d{14}(?!\d)(?!.*\d{14})"
+    return lines.withColumn("ts", F.regexp_substr(path_col, F.lit(last)))
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], table: str, glob: str | None = None) -> DataFrame:
