@@ -39,7 +39,9 @@ def _texts(fields: str, table: str) -> Column:
     for every row.  Outside of it Spark splits the projection into small methods and
     evaluates the array once."""
     texts = F.array(*(F.get(F.col(fields), i) for i in _text_places(table)))
-    return F.transform(texts, lambda c: F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c))
+    none = F.lit(None).cast("string")
+    # most fields are empty, which is one of the tokens: those are not looked up in the set
+    return F.transform(texts, lambda c: F.when(c == "", none).when(c.isin(*NA_TOKENS), none).otherwise(c))
 
 
 def _text_places(table: str) -> list[int]:
@@ -125,14 +127,33 @@ def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = N
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(paths)
-    return with_slot(lines.select("value", F.col("_metadata.file_path").alias("source_file")))
+    return with_slot(
+        lines.select("value", F.col("_metadata.file_path").alias("source_file")), files=listed_files(spark, paths, glob))
 
 
-def with_slot(lines: DataFrame, path_col: str = "source_file") -> DataFrame:
-    """``ts`` = the last 14-digit run in the file path (file name or folder), NULL if none."""
+def listed_files(spark: SparkSession, paths: str | list[str], glob: str | None = None, archives: bool = False) -> DataFrame:
+    """``source_file`` of the files that now lie under ``paths``, named as their lines
+    name them; from a listing, no file is opened."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(paths).select(F.col("path" if archives else "_metadata.file_path").alias("source_file"))
+
+
+def with_slot(lines: DataFrame, path_col: str = "source_file", files: DataFrame | None = None) -> DataFrame:
+    """``ts`` = the last 14-digit run in the file path (file name or folder), NULL if none.
+
+    ``files`` (column ``source_file``) are files most lines come from: their paths are
+    searched once a file, not once a line, which costs more than splitting the line.
+    Lines of other files are searched one by one."""
     # the run that none follows, in one search forward: reversing each row's path costs as much as the search
-    last = r"(?s)\d{14}(?!\d)(?!.*\d{14})"
-    return lines.withColumn("ts", F.regexp_substr(path_col, F.lit(last)))
+    slot = F.regexp_substr(path_col, F.lit(r"(?s)\d{14}(?!\d)(?!.*\d{14})"))
+    if files is None:
+        return lines.withColumn("ts", slot)
+    known = files.select(F.col("source_file").alias(path_col)).distinct().withColumn("ts", slot)
+    # one short row per file, as the driver's own listing holds them
+    found = lines.join(F.broadcast(known), path_col, "left").withColumn("ts", F.coalesce("ts", slot))
+    return found.select(*lines.columns, "ts")
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], table: str, glob: str | None = None) -> DataFrame:

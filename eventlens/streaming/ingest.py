@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlens.session import stream_checkpoint_root
 from eventlens.sources.archive import unzip_lines
-from eventlens.sources.delimited import parse_lines, with_slot
+from eventlens.sources.delimited import listed_files, parse_lines, with_slot
 from eventlens.sources.ingest import FEED_SUFFIXES, TEXT_EXTENSIONS, load_lines
 
 
@@ -46,19 +46,26 @@ def stream_lines(
     With ``archives`` the landed files are zip archives (``*<suffix>.zip``):
     each new archive is unpacked inside its task, as in the batch path.
     """
-    suffix = FEED_SUFFIXES[table] + (".zip" if archives else TEXT_EXTENSIONS)
+    return with_slot(_unstamped_lines(spark, landing, table, max_files, glob, archives, max_file_age))
+
+
+def _landed_names(table: str, glob: str | None, archives: bool) -> str:
+    return glob or f"*{FEED_SUFFIXES[table]}{'.zip' if archives else TEXT_EXTENSIONS}"
+
+
+def _unstamped_lines(
+    spark: SparkSession, landing: str, table: str, max_files: int | None, glob: str | None, archives: bool,
+    max_file_age: str,
+) -> DataFrame:
+    """``stream_lines`` without ``ts``."""
     reader = spark.readStream.format("binaryFile" if archives else "text").option(
-        "pathGlobFilter", glob or f"*{suffix}"
+        "pathGlobFilter", _landed_names(table, glob, archives)
     ).option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if archives:
-        lines = unzip_lines(reader.schema(BINARY_FILE_SCHEMA).load(landing))
-    else:
-        lines = reader.load(landing).select(
-            "value", F.col("_metadata.file_path").alias("source_file")
-        )
-    return with_slot(lines)
+        return unzip_lines(reader.schema(BINARY_FILE_SCHEMA).load(landing))
+    return reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
 def stream_rows(spark: SparkSession, landing: str, table: str, **options) -> DataFrame:
@@ -92,12 +99,14 @@ def start_ingest(
     location = checkpoint
 
     def write(batch: DataFrame, epoch: int) -> None:
-        found = load_lines(batch, batch.select("source_file", "ts").distinct(), table_root, table)
+        listed = listed_files(batch.sparkSession, landing, _landed_names(table, glob, archives), archives)
+        lines = with_slot(batch, files=listed)
+        found = load_lines(lines, lines.select("source_file", "ts").distinct(), table_root, table)
         if counts is not None:
             counts.append({"batch": epoch, **found})
 
     writer = (
-        stream_lines(spark, landing, table, max_files, glob, archives, max_file_age)
+        _unstamped_lines(spark, landing, table, max_files, glob, archives, max_file_age)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", location)
         .queryName(f"ingest_{table}")
