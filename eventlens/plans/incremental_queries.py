@@ -27,9 +27,16 @@ from eventlens.sources.tables import compact, load_table, write_slots
 INCREMENTAL = ("conflict_heatmap", "escalation_events", "source_diversity_index")
 
 
+#: Bytes, compressed, of a row group of the landed lines.  Tasks are dealt whole row groups,
+#: and the default of 128 MB holds millions of lines, all parsed in one task.
+LANDED_ROW_GROUP = 2 << 20
+
+
 def landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """The lines of a feed, written once for both of its deliveries."""
-    return write_and_read(to_lines(fixtures.project(spark, sf_dir, feed), feed), scratch_path(spark, f"landing-{feed}"))
+    lines = to_lines(fixtures.project(spark, sf_dir, feed), feed)
+    return write_and_read(
+        lines, scratch_path(spark, f"landing-{feed}"), **{"parquet.block.size": str(LANDED_ROW_GROUP)})
 
 
 def deliver(lines: DataFrame, tables: str, feed: str, first: bool) -> None:
