@@ -24,9 +24,11 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,18 +56,26 @@ class WordEncoder:
     ending a word is likewise a pre-token of its own.  Texts that may hold a
     special token's string are encoded whole.
 
-    The words of a portion of texts that are not remembered are encoded
-    together, joined by blanks, if they are of Latin letters alone: each is then
-    one pre-token, and only its last id is that of a piece ending a word.  Other
-    words are encoded one by one.  At most ``cache_words`` words are remembered,
-    beyond that the memory starts afresh.
+    Arrow splits a portion of texts and numbers its distinct words; only these
+    are looked up, and the ids put in the place of each word are the texts' ids
+    one after another.
+
+    The words of a portion that are not remembered are encoded together, joined
+    by blanks, if they are of Latin letters alone: each is then one pre-token,
+    and only its last id is that of a piece ending a word.  Lower-case ASCII
+    letters are their own normal and byte-level form, so for these the model is
+    asked without the other steps.  Other words are encoded one by one.  At most
+    ``cache_words`` words are remembered, beyond that the memory starts afresh
+    with those of the portion at hand.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._of_letters = Tokenizer(self._tokenizer.model)
+        self._of_letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self._tokenizer.get_vocab()
         suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
         self._ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
@@ -74,58 +84,83 @@ class WordEncoder:
         self._limit = cache_words
         self._words: dict[bytes, bytes] = {}
 
-    def _plain(self, text: bytes) -> bytes:
-        ids = self._tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+    def _each(self, texts: list[bytes]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(
+            [text.decode("utf-8", "replace") for text in texts], add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _together(self, words: list[bytes]) -> list[bytes] | None:
+    def _together(self, words: list[bytes], tokenizer) -> list[bytes] | None:
         """Ids of words of letters, from one call; None if they do not add up."""
         text = b" ".join(words).decode()
-        ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (np.flatnonzero(self._ends[ids]) + 1) * ID_BYTES
         if len(ends) != len(words) or ends[-1] != len(ids) * ID_BYTES:
             return None
         raw, at = ids.tobytes(), 0
         return [raw[at:(at := end)] for end in ends.tolist()]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         known = self._words
-        cut, parts = [], set()
+        letters, latin, other, cut = [], [], [], []
+        parts = set()
         for word in words:
-            base = word.rstrip(TAIL_MARKS)
-            if len(base) < len(word) and base[-1:].isalnum():
+            if word.isalpha():
+                letters.append(word)
+            elif len(base := word.rstrip(TAIL_MARKS)) < len(word) and base[-1:].isalnum():
                 cut.append((word, base, tail := word[len(base):]))
                 parts.add(base)
                 parts.add(tail)
             else:
                 parts.add(word)
-        simple, other = [], []
-        for part in parts:
+        for part in parts.difference(letters):
             if part not in known:
                 # Latin letters: their normal and lower-case forms are letters too
-                latin = part.isalpha() or (s := part.decode("utf-8", "replace")).isalpha() and max(s) < "\u0130"
-                (simple if latin else other).append(part)
-        for at in range(0, len(simple), JOINED):
-            joined = simple[at:at + JOINED]
-            known.update(zip(joined, self._together(joined) or map(self._plain, joined), strict=True))
-        for part in other:
-            known[part] = self._plain(part)
+                if part.isalpha():
+                    letters.append(part)
+                elif (s := part.decode("utf-8", "replace")).isalpha() and max(s) < "\u0130":
+                    latin.append(part)
+                else:
+                    other.append(part)
+        for simple, tokenizer in ((letters, self._of_letters), (latin, self._tokenizer)):
+            for at in range(0, len(simple), JOINED):
+                joined = simple[at:at + JOINED]
+                known.update(zip(joined, self._together(joined, tokenizer) or self._each(joined), strict=True))
+        for at in range(0, len(other), JOINED):
+            known.update(zip(other[at:at + JOINED], self._each(other[at:at + JOINED]), strict=True))
         for word, base, tail in cut:
             known[word] = known[base] + known[tail]
 
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        ids = list(map(self._words.get, words))
+        missing = [i for i, own in enumerate(ids) if own is None]
+        if missing:
+            if len(self._words) + len(missing) > self._limit:
+                self._words = {word: own for word, own in zip(words, ids, strict=True) if own is not None}
+            self._learn([words[i] for i in missing])
+            for i in missing:
+                ids[i] = self._words[words[i]]
+        return ids
+
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        split = [None if b"<|" in text else text.lower().split() for text in texts]
-        words = set()
-        for own in split:
-            if own:
-                words.update(own)
-        new = words.difference(self._words)
-        if len(self._words) + len(new) > self._limit:
-            self._words, new = {}, words
-        self._learn(new)
-        ids = self._words.__getitem__
-        return [self._plain(text) if words is None else b"".join(map(ids, words))
-                for text, words in zip(texts, split, strict=True)]
+        whole = [i for i, text in enumerate(texts) if b"<|" in text]
+        if whole:
+            special, texts = set(whole), list(texts)
+            found = self._each([texts[i] for i in whole])
+            texts = [b"" if i in special else text for i, text in enumerate(texts)]
+        lower = pc.ascii_lower(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        split = pc.ascii_split_whitespace(lower)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        placed = pa.array(self._ids_of(distinct), pa.large_binary()).take(words.indices)
+        _, starts, data = placed.buffers()
+        raw = data.to_pybytes() if data else b""
+        bounds = np.frombuffer(starts, np.int64)[split.offsets.to_numpy()].tolist() if len(placed) else [0] * (len(texts) + 1)
+        out = [raw[a:b] for a, b in pairwise(bounds)]
+        if whole:
+            for i, ids in zip(whole, found, strict=True):
+                out[i] = ids
+        return out
 
 
 @lru_cache(maxsize=1)
